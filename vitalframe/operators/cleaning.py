@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -60,14 +61,17 @@ def filter_valid(df: DataFrame, rules: Mapping[str, tuple[float | None, float |
 def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, NULL keys equal; the smallest remaining values win (NULLs first).
 
-    Both forms aggregate before the shuffle, so a key that holds a third of all rows leaves each
-    map task as a single row.
+    Both forms thin out each key before the shuffle (partial aggregation, or the partial group
+    limit Spark plans for ``row_number = 1``), so a key that holds a third of all rows leaves each
+    map task as a single row.  The leading 64-bit digest makes almost every sort comparison one
+    comparison of integers; the full key still decides, so equal digests cannot merge rows.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(list(keys))
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_rest"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_rest.{c}").alias(c) for c in df.columns])
+    w = W.partitionBy("_key", *keys).orderBy(*rest)
+    numbered = df.withColumn("_key", F.xxhash64(*keys)).withColumn("_row", F.row_number().over(w))
+    return numbered.filter(F.col("_row") == 1).drop("_key", "_row")
 
 
 def stamp(df: DataFrame, name: str = "dbt_loaded_at") -> DataFrame:
