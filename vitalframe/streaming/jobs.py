@@ -47,7 +47,8 @@ def stream_triage(source: DataFrame, out: str, checkpoint: str, every: str | Non
 
 def readings(source: DataFrame) -> DataFrame:
     """Graded readings of each message, repeats within the delay removed across files."""
-    found = extract_metrics(source, ["user_message", "assistant_response"], list(KEYS), "routed_to_domain")
+    timed = source.withColumn("message_timestamp", F.col("message_timestamp").cast("timestamp"))
+    found = extract_metrics(timed, ["user_message", "assistant_response"], list(KEYS), "routed_to_domain")
     once = found.withWatermark("message_timestamp", REPEAT_DELAY).dropDuplicatesWithinWatermark(
         ["conversation_id", "metric_type", "metric_value"]
     )
