@@ -20,7 +20,8 @@ from vitalframe.operators.ranking import ranked
 from vitalframe.plans import prompt_texts as txt
 from vitalframe.plans import suites
 from vitalframe.plans import training_text as tt
-from vitalframe.plans.pipeline import run_pipeline, select_domains
+from vitalframe.plans.pipeline import refine, run_pipeline, select_domains
+from vitalframe.sources import tables
 from vitalframe.sources.fixtures import shared
 from vitalframe.sources.router_cases import router_testcases
 
@@ -32,15 +33,18 @@ def gold(spark, sf, domain, upto="prompts"):
 
 
 def view(spark, sf, domain):
-    return tt.SELECT[domain](gold(spark, sf, domain))
+    numbered = tt.number_rows(gold(spark, sf, domain, "silver"), domain)
+    return tt.SELECT[domain](refine(numbered, domain, as_of=DAY))
 
 
 def pairs(spark, sf, domain):
-    return tt.training_pairs(gold(spark, sf, domain), domain)
+    return tt.PAIRS[domain](view(spark, sf, domain))
 
 
 def rows(spark, sf, domain):
-    train, valid = sp.hash_split(pairs(spark, sf, domain), "patient_id")
+    """Training and validation rows over the pair table, which is written once and read by both."""
+    written = tables.materialize(pairs(spark, sf, domain), tables.work_path(spark, f"{domain}_pairs"))
+    train, valid = sp.hash_split(written, "patient_id")
     return tt.to_training_rows(train, txt.TRAIN_SYSTEM[domain]), tt.to_training_rows(valid, txt.VALIDATION_SYSTEM[domain])
 
 
@@ -317,9 +321,8 @@ def _(spark, sf):
          "FROM health_metrics"),
 )
 def _(spark, sf):
-    out = ranked(
-        load(spark, sf, "health_metrics"), ["user_id"], ["measurement_date", "metric_id"], F.col("measurement_date")
-    )
+    bucket = F.concat_ws("|", F.col("measurement_date").cast("string"), F.left(F.col("metric_id"), F.lit(4)))
+    out = ranked(load(spark, sf, "health_metrics"), ["user_id"], ["measurement_date", "metric_id"], bucket)
     return out.select("metric_id", "user_id", "rank")
 
 

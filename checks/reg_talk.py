@@ -197,7 +197,10 @@ _TFIDF = [
 )
 def _(spark, sf):
     history = talk(spark, sf)
-    return ctx.similar_by_text(ctx.latest_queries(history), cv.searchable(history), 3, since=DAY - dt.timedelta(days=30))
+    recent = cv.searchable(history).filter(F.col("conversation_date") >= F.lit(DAY - dt.timedelta(days=30)))
+    index = ctx.term_index(recent, "conversation_id", "combined_text")
+    written = tables.materialize(index, tables.work_path(spark, "term_index"))
+    return ctx.similar_by_text(ctx.latest_queries(history), written, recent.count())
 
 
 _TOPIC_WORDS = "MAP {" + ", ".join(f"'{t}': {_list(ws)}" for t, ws in vocab.SEARCH_TOPICS.items()) + "}"

@@ -43,9 +43,13 @@ def contains_any(col: str | Column, words: list[str]) -> Column:
 
 
 def hits(col: str | Column, words: list[str]) -> Column:
-    """The listed words that occur in the text, in list order."""
+    """The listed words that occur in the text, in list order.
+
+    One generated test per word; a lambda over the word list would run interpreted and prepare the
+    text again for every word.
+    """
     c = _c(col)
-    return F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(c, w))
+    return F.array_compact(F.array(*[F.when(c.contains(w), w) for w in words]))
 
 
 def strip(col: str | Column) -> Column:

@@ -22,7 +22,7 @@ from vitalframe.operators.conversation import (
 )
 from vitalframe.operators.ranking import top_k
 
-# Hot users are spread over this many joins tasks; the query side is repeated as often.
+# Hot users are spread over this many join tasks; the query side is repeated as often.
 SALTS = 16
 # Characters of a past message shown in a context.
 SHOWN_CHARS = 250
@@ -68,48 +68,45 @@ def similar_by_embedding(
     return _best(scored.select("query_id", "_salt", key, "score"), k, key)
 
 
+def term_index(
+    texts: DataFrame, ident: str, text: str, filters: Sequence[str] = ("user_id", "routed_to_domain")
+) -> DataFrame:
+    """Word counts per text, with its filter values.  Write it as a table to search it many times."""
+    words = F.filter(F.split(F.lower(F.col(text)), "[^a-z0-9]+"), lambda w: w != "")
+    long = texts.select(ident, *filters, F.explode(words).alias("term"))
+    return long.groupBy(ident, *filters, "term").agg(F.count("*").alias("tf"))
+
+
 def similar_by_text(
-    queries: DataFrame, corpus: DataFrame, k: int = 3, filters: Sequence[str] = ("user_id", "routed_to_domain"),
-    since: dt.date | None = None, key: str = "conversation_id",
+    queries: DataFrame, index: DataFrame, n_docs: int, k: int = 3,
+    filters: Sequence[str] = ("user_id", "routed_to_domain"), key: str = "conversation_id",
 ) -> DataFrame:
     """Exact top ``k`` by cosine of TF-IDF vectors; only conversations that share a word can score.
 
     Queries and corpus meet on filter values and word, so the work is the number of shared words,
     never every pair of texts.
     """
-    if since:
-        corpus = corpus.filter(F.col("conversation_date") >= F.lit(since))
+    seen = F.log(F.lit(n_docs + 1) / (F.count("*") + 1)) + 1
+    idf = index.groupBy("term").agg(seen.alias("idf"))
+    asked = term_index(queries, "query_id", "query_text", filters)
 
-    def terms(df: DataFrame, ident: str, text: str, more: Sequence[str]) -> DataFrame:
-        words = F.filter(F.split(F.lower(F.col(text)), "[^a-z0-9]+"), lambda w: w != "")
-        long = df.select(F.col(ident), *more, F.explode(words).alias("term"))
-        return long.groupBy(ident, *more, "term").agg(F.count("*").alias("tf"))
+    def weigh(t: DataFrame, how: str) -> DataFrame:
+        return t.join(idf, "term", how).withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(0.0)))
 
-    docs = terms(corpus, key, "combined_text", list(filters))
-    asked = terms(queries, "query_id", "query_text", list(filters))
-    n_docs = corpus.agg(F.count("*").alias("n_docs"))
-    df_counts = docs.groupBy("term").agg(F.count("*").alias("df"))
-    idf = df_counts.crossJoin(F.broadcast(n_docs)).select("term", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    def norm(t: DataFrame, ident: str, name: str) -> DataFrame:
+        return t.groupBy(ident).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
 
-    def weigh(t: DataFrame, how: str) -> DataFrame:
-        unseen = F.lit(0.0)
-        return t.join(idf, "term", how).withColumn("w", F.col("tf") * F.coalesce("idf", unseen))
-
-    doc_w, query_w = weigh(docs, "inner"), weigh(asked, "left")
-    doc_norm = doc_w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("doc_norm"))
-    query_norm = query_w.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("query_norm"))
-    shared = query_w.select("query_id", *filters, "term", F.col("w").alias("qw")).join(
-        doc_w.select(key, *filters, "term", F.col("w").alias("dw")), [*filters, "term"]
-    )
-    dots = (
-        shared.filter(F.col(key) != F.col("query_id"))
-        .groupBy("query_id", key)
-        .agg(F.sum(F.col("qw") * F.col("dw")).alias("dot"))
+    doc_w, query_w = weigh(index, "inner"), weigh(asked, "left")
+    copies, spread = _salted(
+        query_w.select("query_id", *filters, "term", F.col("w").alias("qw")),
+        doc_w.select(key, *filters, "term", F.col("w").alias("dw")),
+        key,
     )
-    scored = dots.join(doc_norm, key).join(query_norm, "query_id")
+    shared = copies.join(spread, [*filters, "term", "_salt"]).filter(F.col(key) != F.col("query_id"))
+    dots = shared.groupBy("query_id", key, "_salt").agg(F.sum(F.col("qw") * F.col("dw")).alias("dot"))
+    scored = dots.join(norm(doc_w, key, "doc_norm"), key).join(norm(query_w, "query_id", "query_norm"), "query_id")
     score = F.round(F.col("dot") / F.nullif(F.col("doc_norm") * F.col("query_norm"), F.lit(0.0)), 6)
-    salted = scored.withColumn("score", score).withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-    return _best(salted.select("query_id", "_salt", key, "score"), k, key)
+    return _best(scored.withColumn("score", score).select("query_id", "_salt", key, "score"), k, key)
 
 
 def latest_queries(history: DataFrame) -> DataFrame:

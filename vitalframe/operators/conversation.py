@@ -28,12 +28,11 @@ from vitalframe.operators.ranking import ranked
 # --- triage and routing -------------------------------------------------------------------------
 def triage_message(df: DataFrame, text: str) -> DataFrame:
     """Keyword triage: the first emergency word decides alone, then urgent words, then symptom words."""
-    low = F.lower(F.col(text))
-    found = df.withColumns(
+    found = df.withColumn("_low", F.lower(F.col(text))).withColumns(
         {
-            "_emergency": hits(low, vocab.EMERGENCY_KEYWORDS),
-            "_urgent": hits(low, vocab.URGENT_KEYWORDS),
-            "_symptoms": hits(low, vocab.SYMPTOM_KEYWORDS),
+            "_emergency": hits("_low", vocab.EMERGENCY_KEYWORDS),
+            "_urgent": hits("_low", vocab.URGENT_KEYWORDS),
+            "_symptoms": hits("_low", vocab.SYMPTOM_KEYWORDS),
         }
     )
     emergency, urgent = F.size("_emergency") > 0, F.size("_urgent") > 0
@@ -48,22 +47,22 @@ def triage_message(df: DataFrame, text: str) -> DataFrame:
             .when(urgent, F.col("_urgent"))
             .otherwise(F.col("_symptoms")),
         }
-    ).drop("_emergency", "_urgent", "_symptoms")
+    ).drop("_low", "_emergency", "_urgent", "_symptoms")
 
 
 def route_domain(
     df: DataFrame, text: str, keywords: Mapping[str, Sequence[str]] = vocab.DOMAIN_KEYWORDS, default: str = "out_of_scope"
 ) -> DataFrame:
     """Domain with the most keyword hits; the earlier domain wins a tie; no hit leaves the scope."""
-    low = F.lower(F.col(text))
-    counts = {d: F.size(hits(low, [w.lower() for w in words])) for d, words in keywords.items()}
-    scored = df.withColumn("_hits", F.struct(*[c.alias(d) for d, c in counts.items()]))
+    low = df.withColumn("_low", F.lower(F.col(text)))
+    counts = {d: F.size(hits("_low", [w.lower() for w in words])) for d, words in keywords.items()}
+    scored = low.withColumn("_hits", F.struct(*[c.alias(d) for d, c in counts.items()]))
     best = F.greatest(*[F.col(f"_hits.{d}") for d in counts])
     domain = first_match([(d, (best > 0) & (F.col(f"_hits.{d}") == best)) for d in counts], default)
     return (
         scored.withColumns({"domain_hits": best, "routed_domain": domain})
         .withColumn("specialist_model", lookup("routed_domain", vocab.DOMAIN_MODELS))
-        .drop("_hits")
+        .drop("_low", "_hits")
     )
 
 
@@ -184,12 +183,15 @@ def metric_trends(
     )
 
 
+# Readings of one day are split by the first characters of their id, so a busy day is not one sort.
+TIE_PREFIX = 4
+
+
 def metric_series(metrics: DataFrame, as_of: dt.date, days: int = 90, tie: str = "metric_id") -> DataFrame:
     """The readings behind a trend as rows, numbered in time order, so a series may have any length."""
     recent = metrics.filter(F.col("measurement_date") >= F.lit(as_of - dt.timedelta(days=days)))
-    return ranked(
-        recent, ["user_id", "metric_type"], ["measurement_date", tie], F.col("measurement_date"), "position"
-    ).select("user_id", "metric_type", "position", "measurement_date", "metric_value")
+    bucket = F.concat_ws("|", F.col("measurement_date").cast("string"), F.left(F.col(tie), F.lit(TIE_PREFIX)))
+    return ranked(recent, ["user_id", "metric_type"], ["measurement_date", tie], bucket, "position").select("user_id", "metric_type", "position", "measurement_date", "metric_value")
 
 
 # --- conversation tables ------------------------------------------------------------------------
@@ -226,7 +228,7 @@ def session_transcripts(history: DataFrame, min_turns: int = 2) -> DataFrame:
         history.select(*keys, "message_timestamp", "conversation_id", "user_message", "assistant_response"),
         keys,
         ["message_timestamp", "conversation_id"],
-        F.date_trunc("hour", "message_timestamp"),
+        F.date_trunc("minute", "message_timestamp"),
         "turn_no",
     )
     text = F.concat(

@@ -37,33 +37,33 @@ def class_targets(df: DataFrame, label: str, n: int) -> DataFrame:
 def stratified_sample(df: DataFrame, label: str, n: int, key: str, seed: int = 0) -> DataFrame:
     """Exactly the class targets, chosen by seeded hash order inside each class.
 
-    Only hash buckets that reach below a class's target are ranked; all later rows are dropped by
-    a join with the bucket counts before any sort.
+    Ranking touches only the key and the label: hash buckets are counted, buckets beyond a class's
+    target are dropped before any sort, and the chosen keys then pick their rows by a semi join.
+    ``df`` is read more than once, so hand in a written table when it is costly to compute.
     """
     keyed = (
         df.filter(F.col(label).isNotNull())
+        .select(key, label)
         .withColumn("_hash", seeded_hash(key, seed))
         .withColumn("_bucket", F.substring("_hash", 1, HASH_PREFIX))
     )
     offsets = _offsets(keyed, [label], ["_bucket"])
-    totals = offsets.groupBy(label).agg(F.sum("_in_bucket").alias("_class_rows"))
-    everything = F.sum("_class_rows").over(W.partitionBy())
-    totals = totals.withColumn("_everything", everything)
-    targets = totals.select(
-        label, F.expr(f"({2 * n} * _class_rows + _everything) div (2 * _everything)").alias("_target")
-    )
+    everything = F.sum("_in_bucket").over(W.partitionBy())
+    target = F.expr(f"({2 * n} * _group_rows + _everything) div (2 * _everything)")
     wanted = (
-        offsets.join(targets, label)
-        .filter(F.col("_before") < F.col("_target"))
-        .select(label, "_bucket", (F.col("_target") - F.col("_before")).alias("_room"))
+        offsets.withColumn("_everything", everything)
+        .withColumn("_room", target - F.col("_before"))
+        .filter("_room > 0")
+        .select(label, "_bucket", "_room")
     )
     inside = F.row_number().over(W.partitionBy(label, "_bucket").orderBy("_hash", key))
-    return (
+    chosen = (
         keyed.join(wanted, [label, "_bucket"])
         .withColumn("_inside", inside)
         .filter(F.col("_inside") <= F.col("_room"))
-        .select(*df.columns)
+        .select(key)
     )
+    return df.join(chosen, key, "left_semi")
 
 
 def random_n(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:

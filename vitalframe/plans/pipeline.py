@@ -38,14 +38,18 @@ def stages(domain: str, as_of: dt.date) -> list:
     }[domain]
 
 
-def features(bronze: DataFrame, domain: str, upto: str = "prompts", as_of: dt.date | None = None) -> DataFrame:
-    """Run one domain's chain on its bronze table up to the named tier."""
+def refine(silver: DataFrame, domain: str, upto: str = "prompts", as_of: dt.date | None = None) -> DataFrame:
+    """Feature tiers on top of a silver table; extra columns, such as a row id, travel along."""
     depth = TIERS.index(upto)
-    df = SILVER[domain][1](bronze)
     if depth:
         for step in stages(domain, as_of or dt.date.today())[:depth]:
-            df = step(df)
-    return df
+            silver = step(silver)
+    return silver
+
+
+def features(bronze: DataFrame, domain: str, upto: str = "prompts", as_of: dt.date | None = None) -> DataFrame:
+    """Run one domain's chain on its bronze table up to the named tier."""
+    return refine(SILVER[domain][1](bronze), domain, upto, as_of)
 
 
 def run_pipeline(

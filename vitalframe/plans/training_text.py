@@ -112,8 +112,20 @@ def _bmi_text() -> Column:
     return band_half_open("bmi", BMI_CUTS, BMI_LABELS, "Unknown")
 
 
+def number_rows(df: DataFrame, domain: str) -> DataFrame:
+    """Add ``patient_id`` to a silver or gold table.
+
+    Ids depend on silver columns only.  Numbering the silver table shuffles its few columns; the
+    feature tiers are row by row and come after it.  A table that has ids is returned as it is.
+    """
+    if "patient_id" in df.columns:
+        return df
+    if domain == "mental_health":
+        return surrogate_id_by_time(df, "MH_", "survey_timestamp", IDENTITY[domain])
+    return surrogate_id(df, {"hypertension": "HTN_", "diabetes": "DM_"}[domain], IDENTITY[domain])
+
+
 def select_hypertension_features(gold: DataFrame) -> DataFrame:
-    numbered = surrogate_id(gold, "HTN_", IDENTITY["hypertension"])
     urgency = first_match(
         [
             ("emergency", F.col("potential_hypertensive_emergency")),
@@ -123,29 +135,31 @@ def select_hypertension_features(gold: DataFrame) -> DataFrame:
         "needs_assessment",
     )
     return _pick(
-        numbered, "hypertension", HYPERTENSION_COLUMNS, bmi_category=_bmi_text(), clinical_urgency_level=urgency
+        number_rows(gold, "hypertension"), "hypertension", HYPERTENSION_COLUMNS, bmi_category=_bmi_text(),
+        clinical_urgency_level=urgency,
     )
 
 
 def select_diabetes_features(gold: DataFrame) -> DataFrame:
-    numbered = surrogate_id(gold, "DM_", IDENTITY["diabetes"])
     urgency = first_match(
         [(level, F.col("glucose_urgency_level") == level) for level in ("emergency", "urgent")], "routine"
     )
-    return _pick(numbered, "diabetes", DIABETES_COLUMNS, bmi_category=_bmi_text(), clinical_urgency_level=urgency)
+    return _pick(
+        number_rows(gold, "diabetes"), "diabetes", DIABETES_COLUMNS, bmi_category=_bmi_text(),
+        clinical_urgency_level=urgency,
+    )
 
 
 def mental_feature_columns(gold: DataFrame) -> dict[str, str]:
     """Every derived gold column but the few left out; the standard gender replaces the raw one."""
-    silver = set(IDENTITY["mental_health"]) | {"survey_timestamp", "dbt_loaded_at"}
+    silver = set(IDENTITY["mental_health"]) | {"survey_timestamp", "dbt_loaded_at", "patient_id"}
     keep = [c for c in gold.columns if c not in silver and c not in MENTAL_LEFT_OUT]
     renamed = {"gender_clean": "gender"}
     return {c: renamed.get(c, c) for c in keep} | {"survey_timestamp": "source_timestamp"}
 
 
 def select_mental_features(gold: DataFrame) -> DataFrame:
-    numbered = surrogate_id_by_time(gold, "MH_", "survey_timestamp", IDENTITY["mental_health"])
-    return _pick(numbered, "mental_health", mental_feature_columns(gold))
+    return _pick(number_rows(gold, "mental_health"), "mental_health", mental_feature_columns(gold))
 
 
 def stamp_selection(view: DataFrame) -> DataFrame:
