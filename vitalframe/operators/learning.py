@@ -186,7 +186,7 @@ def with_weights(df: DataFrame, label: str = "label") -> DataFrame:
 # Search grids, small enough to run in a test; pass wider ones for a real search.
 RF_GRID = {"numTrees": [20], "maxDepth": [5, 8]}
 GBT_GRID = {"maxIter": [5], "maxDepth": [3]}
-SVM_GRID = {"regParam": [0.01, 0.1]}
+SVM_GRID = {"regParam": [0.01, 0.1], "maxIter": [10]}
 
 
 def _search(estimator, tuned, train: DataFrame, grid: Mapping[str, list], folds: int, parallel: int) -> CrossValidatorModel:
@@ -215,7 +215,7 @@ def train_gbt(train: DataFrame, grid: Mapping[str, list] = GBT_GRID, folds: int
 
 def train_svm(train: DataFrame, grid: Mapping[str, list] = SVM_GRID, folds: int = 3, parallel: int = 4):
     """Linear margin classifier, one model per class."""
-    margin = LinearSVC(standardization=True, maxIter=20)
+    margin = LinearSVC(standardization=True)
     many = OneVsRest(classifier=margin, weightCol="class_weight")
     return _search(many, margin, train, grid, folds, parallel)
 

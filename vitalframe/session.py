@@ -45,7 +45,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
-    shared = sc.getConf().get("spark.checkpoint.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None and sc.master.startswith("local"):
         shared = tempfile.mkdtemp(prefix="vitalframe-ckpt-")
     if shared is None:
