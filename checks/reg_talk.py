@@ -129,6 +129,7 @@ _TRENDS = (
 
 
 @register("k07_metric_trends", over("health_metrics", "SELECT * FROM trends", _TRENDS))
+@register("u05_get_metric_trends", over("health_metrics", "SELECT * FROM trends", _TRENDS))
 def _(spark, sf):
     return cv.metric_trends(load(spark, sf, "health_metrics"), DAY)
 
@@ -337,6 +338,7 @@ def context(spark, sf):
     )
 
 
+@register("u03_get_smart_context", over(_CONTEXT_INPUTS, "SELECT * EXCLUDE (query_text) FROM context", *_CONTEXT))
 @register("k14_build_context", over(_CONTEXT_INPUTS, "SELECT * EXCLUDE (query_text) FROM context", *_CONTEXT))
 def _(spark, sf):
     return context(spark, sf)[1]

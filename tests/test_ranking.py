@@ -32,6 +32,13 @@ def test_ranked_equals_sorted_position(skewed):
         assert {x.total for x in rows} == {len(rows)}
 
 
+def test_null_groups_and_buckets_are_kept(spark):
+    rows = [(None, None, 1), (None, "2024-01-01", 2), (None, "2024-01-02", 3), ("a", None, 4), ("a", "2024-01-01", 5)]
+    df = spark.createDataFrame(rows, "g string, d string, i int")
+    out = {r.i: r["rank"] for r in ranking.ranked(df, ["g"], ["d", "i"], F.col("d")).collect()}
+    assert out == {1: 1, 2: 2, 3: 3, 4: 1, 5: 2}
+
+
 def test_surrogate_ids_are_dense_and_stable(skewed):
     ids = [r.patient_id for r in ranking.surrogate_id(skewed, "P_", ["key", "label"]).collect()]
     again = {r.key: r.patient_id for r in ranking.surrogate_id(skewed.repartition(7), "P_", ["key", "label"]).collect()}

@@ -228,7 +228,7 @@ def session_transcripts(history: DataFrame, min_turns: int = 2) -> DataFrame:
         history.select(*keys, "message_timestamp", "conversation_id", "user_message", "assistant_response"),
         keys,
         ["message_timestamp", "conversation_id"],
-        F.date_trunc("minute", "message_timestamp"),
+        F.date_format("message_timestamp", "yyyy-MM-dd HH:mm"),
         "turn_no",
     )
     text = F.concat(

@@ -53,20 +53,25 @@ def ranked(
 ) -> DataFrame:
     """``row_number`` over ``groups`` ordered by ``order`` (ascending), computed bucket by bucket.
 
-    ``bucket`` must never fall while ``order`` rises, and must not be NULL.  Group columns must
-    not be NULL either.
+    ``bucket`` is a text that never falls while ``order`` rises; NULL counts as the smallest.
+    NULL group values form a group of their own, as they do in a window.
     """
-    keyed = df.withColumn("_bucket", bucket)
-    offsets = _offsets(keyed, groups, ["_bucket"])
-    inside = W.partitionBy(*groups, "_bucket").orderBy(*order)
+    keyed = df.withColumn("_bucket", F.coalesce(bucket, F.lit("")))
+    keys = list(groups)
+    if any(df.schema[g].nullable for g in groups):
+        # Fields of equal structs may be NULL, so an ordinary equi-join keeps NULL groups.
+        keyed = keyed.withColumn("_group", F.struct(*groups))
+        keys = ["_group"]
+    offsets = _offsets(keyed, keys, ["_bucket"])
+    inside = W.partitionBy(*keys, "_bucket").orderBy(*order)
     out = (
         keyed.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, [*groups, "_bucket"])
+        .join(offsets, [*keys, "_bucket"])
         .withColumn(name, F.col("_before") + F.col("_inside"))
     )
     if total:
         out = out.withColumn(total, F.col("_group_rows"))
-    return out.drop("_bucket", "_inside", "_in_bucket", "_before", "_group_rows")
+    return out.drop("_group", "_bucket", "_inside", "_in_bucket", "_before", "_group_rows")
 
 
 def hash_ranked(
