@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import vitalframe
 from vitalframe.sources.tables import work_path
 
 # ASCII white space of the text contracts: space, tab, line feed, vertical tab, form feed, return.
 BLANKS = r"\x20\x09-\x0D"
 
 
+_shared: set[str] = set()
+
+
+def share_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the application, once; they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shared:
+        return
+    package = os.path.dirname(os.path.abspath(vitalframe.__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="package-"), "vitalframe"), "zip", os.path.dirname(package), os.path.basename(package)
+    )
+    spark.sparkContext.addPyFile(archive)
+    _shared.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import bpe, lengths, packing
-from vitalframe.llm.common import table
+from vitalframe.llm import balltree, bpe, lengths, licences, lines, packing, quality, sharding, simhash, toxicity
+from vitalframe.llm.common import share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +17,11 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            share_code(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -36,11 +40,97 @@ def op1(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@register("op2_quality_rules")
+def op2(spark, sf_dir):
+    judged = quality.judge_documents(table(spark, sf_dir, "documents"))
+    counted = [F.col("measures")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return judged.select("doc_id", *counted, "base_failed", "kept", "p_good")
+
+
+@register(
+    "op3_line_dedup",
+    r"""
+    WITH parts AS (
+        SELECT doc_id, pos, line,
+               translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+              FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+    ), repeated AS (
+        SELECT key, max(doc_id) AS last_id FROM parts WHERE length(key) >= 40
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+    ), marked AS (
+        SELECT p.doc_id, p.pos, p.line, r.key IS NOT NULL AND p.doc_id < r.last_id AS gone
+        FROM parts p LEFT JOIN repeated r ON p.key = r.key
+    )
+    SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """,
+)
+def op3(spark, sf_dir):
+    cleaned = lines.drop_repeated(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register(
+    "op4_exact_top_k",
+    """
+    WITH v AS (
+        SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS ints FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               list_sum([q.ints[i] * c.ints[i] FOR i IN range(1, len(q.ints) + 1)])::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.ints) = len(q.ints)
+    ), ranked AS (
+        SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def op4(spark, sf_dir):
+    found = balltree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+@register("op5_simhash_near_dedup")
+def op5(spark, sf_dir):
+    grouped = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return grouped.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @register("op6_token_counts")
 def op6(spark, sf_dir):
     return lengths.histogram(lengths.encoded_lengths(table(spark, sf_dir, "documents"), tokenizer_file()))
 
 
+@register("op7_toxicity")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    grammar = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, grammar, keep=("doc_id",)).select(
+        "doc_id",
+        F.coalesce(toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        *(f"n_{e}" for e in toxicity.EVENTS),
+    )
+
+
+@register("op8_license_scan")
+def op8(spark, sf_dir):
+    # the tables hold no paths; source and language stand for the folders a document lies in
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licences.scan(table(spark, sf_dir, "documents"), path)
+
+
+@register("op9_hilbert_shards")
+def op9(spark, sf_dir):
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
 @register("op10_bpe_round_trip")
 def op10(spark, sf_dir):
     path = tokenizer_file()
