@@ -35,11 +35,15 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 # Unicode versions differ on letters and digits from here on; such text is split by the library.
 UNSETTLED = regex.compile("[\u0558-\U0010ffff]")
 
+# Marks that the pattern keeps in one piece behind a word.
+MARKS = ",.;:!?*#$%&|"
+
 ID_BYTES = 4
 ROWS_PER_BATCH = 512
 # Memo tables only save time; a full one starts again empty.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 350_000
 LONG_WORD = 64
+LONGEST = 256
 
 
 def _byte_of() -> dict[str, int]:
@@ -87,25 +91,19 @@ class MergeAutomaton:
                 bound, y = y + 1, left[y]
 
     def _prefixes(self, live: list[bool]) -> None:
-        """Label tree; per node the longest arc whose label is a prefix of the way there, per arc the next shorter."""
-        steps: dict[int, int] = {}
-        longest = [-1]
+        """Label tree of nested tables; under LONGEST the longest arc whose label is a prefix of the way there, and per arc the next shorter."""
+        root: dict = {LONGEST: -1}
         self.shorter = [-1] * len(self.labels)
-        # parents of a label's tree nodes are filled before it, as labels come in order of length
+        # a label's prefixes are filled in before it, as labels come in order of length
         for s in sorted(range(len(self.labels)), key=lambda s: self.lengths[s]):
-            node, best = 0, -1
+            node, before = root, -1
             for byte in self.labels[s]:
-                before = best
-                nxt = steps.get(node << 8 | byte)
-                if nxt is None:
-                    nxt = steps[node << 8 | byte] = len(longest)
-                    longest.append(best)
-                node = nxt
-                best = longest[node]
+                before = node[LONGEST]
+                node = node.setdefault(byte, {LONGEST: before})
             if live[s]:
                 self.shorter[s] = before
-                longest[node] = s
-        self.steps, self.longest = steps, longest
+                node[LONGEST] = s
+        self.tree = root
 
     def path(self, word: bytes) -> list[int]:
         """States of the one accepted path that spells the word.
@@ -113,7 +111,7 @@ class MergeAutomaton:
         An accepted path to a place in the word is the only one that ends there, so a place from
         which no arc leads on is given up for good, and the search takes linear time.
         """
-        steps, longest, shorter, lengths = self.steps, self.longest, self.shorter, self.lengths
+        tree, shorter, lengths = self.tree, self.shorter, self.lengths
         arcs, span = self._arcs, self.span
         n, i, last = len(word), 0, -1
         out: list[int] = []
@@ -121,13 +119,13 @@ class MergeAutomaton:
         t = -1
         while i < n:
             if t < 0:
-                node = 0
-                for k in range(i, n):
-                    nxt = steps.get(node << 8 | word[k])
+                node = tree
+                for byte in word[i:]:
+                    nxt = node.get(byte)
                     if nxt is None:
                         break
                     node = nxt
-                t = longest[node]
+                t = node[LONGEST]
             while t >= 0:
                 if not given_up or i + lengths[t] not in given_up:
                     if last < 0:
@@ -194,11 +192,21 @@ class Codec:
         self.open_blank = regex.compile(rf" (?:[{SPACE}]|\Z)")
         self.split_as_library = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.pieces = _Memo(self._piece, MEMO_ENTRIES // 4)
-        self.chunks = _Memo(lambda chunk: self.pieces_of(" " + chunk), MEMO_ENTRIES)
+        self.chunks = _Memo(self._chunk, MEMO_ENTRIES)
 
     def _piece(self, piece: str) -> bytes:
         return b"".join([self.packed[s] for s in self.automaton.path(piece.encode())])
 
+    def _chunk(self, chunk: str) -> bytes:
+        """A word, a word with marks behind it, or anything else, after one space."""
+        if chunk.isascii() or not UNSETTLED.search(chunk):
+            if chunk.isalpha():
+                return self._piece(" " + chunk)
+            body = chunk.rstrip(MARKS)
+            if body.isalpha():
+                return self.chunks[body] + self.pieces[chunk[len(body) :]]
+        return self.pieces_of(" " + chunk)
+
     def pieces_of(self, text: str) -> bytes:
         if text.isascii() or not UNSETTLED.search(text):
             parts = self.pre_split.findall(text)
