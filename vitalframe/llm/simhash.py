@@ -78,6 +78,10 @@ def _around(flips: Sequence[int]) -> Column:
     return F.array(*(F.lit(_signed(f)).cast("long") for f in flips))
 
 
+def _flipped(bits: Column, flips: Sequence[int]) -> Column:
+    return F.transform(_around(flips), lambda f: bits.bitwiseXOR(f))
+
+
 def _screen_variants(fp: Column) -> Column:
     """Per block: the other bits, and their one-bit variants; the blank block carries a mark of its own."""
     parts = []
@@ -85,8 +89,7 @@ def _screen_variants(fp: Column) -> Column:
         rest = sum(1 << i for i in range(BITS) if i not in block)
         mark = 1 << block[0]
         flips = [mark, *(mark | 1 << i for i in range(BITS) if i not in block)]
-        kept = fp.bitwiseAND(F.lit(_signed(rest)))
-        parts.append(F.transform(_around(flips), lambda f, kept=kept: kept.bitwiseXOR(f)))
+        parts.append(_flipped(fp.bitwiseAND(F.lit(_signed(rest))), flips))
     return F.concat(*parts)
 
 
