@@ -43,6 +43,8 @@ MOST_CLEAN_SHARE = 0.001
 LEAST_TOXIC_ROWS = 4
 LEAST_TOXIC_SHARE = 0.002
 MOST_STEMS = 2_000
+# toxic documents that a stem must newly explain for every clean one it would hit
+LEAST_GAIN = 8
 RIDGE = 1e-3
 MEMO_WORDS = 400_000
 
@@ -171,7 +173,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = one.withColumn("place", place).where(F.col("place") <= rows).select("doc_id", "label")
     # at most twice the sample size of ids, so that no text is shuffled to find the sample
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    return found.dropDuplicates(["text", "label"])
 
 
 def fold(doc_id: Column) -> Column:
@@ -200,7 +203,7 @@ def _stem_counts(sample: DataFrame) -> DataFrame:
 
 
 def learned_stems(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """At most MOST_STEMS word beginnings and words that mark toxic documents."""
+    """The fixed insults, and the word beginnings and words that mark toxic documents (of MOST_STEMS at most)."""
     odds = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
     strong = (
         _stem_counts(sample)
@@ -209,19 +212,39 @@ def learned_stems(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
         .orderBy(F.desc("toxic"), "clean", "stem")
         .limit(MOST_STEMS)
     )
-    found = {r["stem"]: (r["toxic"], r["clean"]) for r in strong.collect()}
-    kept: list[str] = []
-    for stem in sorted(found, key=len):
-        body = stem.rstrip("*")
-        if any(body[:k] + "*" in kept for k in range(STEM_LENGTHS.start, len(body))):
-            continue
-        # a longer form that loses few toxic documents and some clean ones is the better stem
-        toxic, clean = found[stem]
-        better = [s for s, (t, c) in found.items() if s != stem and s.startswith(body) and t >= 0.9 * toxic and c < clean]
-        if stem.endswith("*") and better:
-            continue
-        kept.append(stem)
-    return kept
+    candidates = [*INSULTS, *(r["stem"] for r in strong.collect() if r["stem"] not in INSULTS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {s: n for n, s in enumerate(candidates)}
+        for batch in batches:
+            hits = []
+            for text in batch.column("text").to_pylist():
+                seen = set(TOKEN.findall((text or "").lower()))
+                seen |= {w[:k] + "*" for w in seen for k in STEM_LENGTHS if len(w) > k}
+                hits.append(sorted(number[s] for s in seen if s in number))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(hits, pa.list_(pa.int32()))], names=["label", "hits"])
+
+    # at most one short list per document of the bounded sample
+    held = sample.select(F.col("label").cast("int").alias("label"), "text").mapInArrow(run, "label int, hits array<int>").where(F.size("hits") > 0).collect()
+    holders: dict[int, set[int]] = {}
+    clean: Counter = Counter()
+    for doc, row in enumerate(held):
+        for n in row["hits"]:
+            if row["label"]:
+                holders.setdefault(n, set()).add(doc)
+            else:
+                clean[n] += 1
+    # Copies of one toxic document share all their words. A stem therefore counts only the documents
+    # that no stem taken before it explains; the rare words of copies explain nothing new.
+    kept, explained = list(INSULTS), set().union(*(holders.get(n, set()) for n in range(len(INSULTS))))
+    least = max(LEAST_TOXIC_ROWS, LEAST_TOXIC_SHARE * n_toxic)
+    while True:
+        gains = [(len(docs - explained), -clean[n], -len(candidates[n]), candidates[n], n) for n, docs in holders.items() if n >= len(INSULTS)]
+        gain = max(gains, default=(0,))
+        if gain[0] < least or gain[0] < LEAST_GAIN * (clean[gain[-1]] + 0.5):
+            return kept
+        kept.append(gain[3])
+        explained |= holders[gain[-1]]
 
 
 def fit_weights(vectors: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -244,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, held_out: i
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Grammar(tuple(INSULTS), tuple(DEFAULT_WEIGHTS.items()))
-    stems = sorted({*INSULTS, *learned_stems(sample, sizes[1], sizes[0])})
+    stems = sorted(learned_stems(sample, sizes[1], sizes[0]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(stems)
