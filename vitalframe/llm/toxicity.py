@@ -37,9 +37,9 @@ HELD_OUT = 2
 FOLDS = 4
 # A stem counts as learned when it is this much more frequent in toxic than in clean documents,
 # seldom enough in clean ones, and shared by enough toxic ones.
-STEM_LENGTHS = range(3, 8)
+STEM_LENGTHS = range(3, 11)
 LEAST_ODDS = 60.0
-MOST_CLEAN_SHARE = 0.001
+MOST_CLEAN_SHARE = 0.003
 LEAST_TOXIC_ROWS = 4
 LEAST_TOXIC_SHARE = 0.002
 MOST_STEMS = 2_000
