@@ -120,10 +120,11 @@ def _(spark, sf):
 
 @register(
     "t10_apply_template",
-    over("conversation_history", "SELECT conversation_id, 'Classify: ' || user_message AS complete_prompt FROM conversation_history"),
+    over("conversation_history", "SELECT conversation_id, lead || user_message AS complete_prompt FROM conversation_history, "
+         "(VALUES ('Classify: '), ('Grade: ')) AS t(lead)"),
 )
 def _(spark, sf):
-    template = spark.createDataFrame([("Classify: ",)], "system_prompt string")
+    template = spark.createDataFrame([("Classify: ",), ("Grade: ",)], "system_prompt string")
     talk = load(spark, sf, "conversation_history")
     return tt.apply_template(talk, template, "user_message").select("conversation_id", "complete_prompt")
 
@@ -342,11 +343,11 @@ def _(spark, sf):
 @register(
     "d12_ordered_output",
     over("conversation_history", "SELECT conversation_id, urgency_level FROM conversation_history "
-         "ORDER BY (urgency_level = 'emergency') DESC, conversation_id LIMIT 50"),
+         "ORDER BY (urgency_level = 'emergency') DESC, conversation_id"),
 )
 def _(spark, sf):
     talk = load(spark, sf, "conversation_history").select("conversation_id", "urgency_level")
-    return talk.orderBy(F.when(F.col("urgency_level") == "emergency", 1).otherwise(2), "conversation_id").limit(50)
+    return talk.orderBy(F.when(F.col("urgency_level") == "emergency", 1).otherwise(2), "conversation_id")
 
 
 @register(

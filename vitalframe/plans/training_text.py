@@ -443,9 +443,8 @@ def to_chat_messages(pairs: DataFrame, system_prompt: str) -> DataFrame:
 
 
 def apply_template(cases: DataFrame, template: DataFrame, text: str, prompt: str = "system_prompt") -> DataFrame:
-    """Put a one-row template table in front of every case's text."""
-    one = F.broadcast(template.select(prompt).limit(1))
-    return cases.crossJoin(one).withColumn("complete_prompt", F.concat(prompt, text)).drop(prompt)
+    """Put every template in front of every case's text: one row per case and template."""
+    return cases.crossJoin(template.select(prompt)).withColumn("complete_prompt", F.concat(prompt, text)).drop(prompt)
 
 
 def preview(df: DataFrame, columns: Mapping[str, int], keys: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from vitalframe.operators.conversation import extract_metrics, grade_metric, searchable, triage_message
 
 KEYS = ("conversation_id", "user_id", "message_timestamp")
-# How late a repeated reading may arrive and still be recognised; bounds the state.
-REPEAT_DELAY = "10 minutes"
+# What makes two readings the same one, however late the second arrives.
+READING = ("conversation_id", "message_timestamp", "metric_type", "metric_value")
 
 
 def file_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", files: int = 100) -> DataFrame:
@@ -46,22 +47,25 @@ def stream_triage(source: DataFrame, out: str, checkpoint: str, every: str | Non
 
 
 def readings(source: DataFrame) -> DataFrame:
-    """Graded readings of each message, repeats within the delay removed across files."""
+    """Graded readings of each message, however late it is."""
     timed = source.withColumn("message_timestamp", F.col("message_timestamp").cast("timestamp"))
     found = extract_metrics(timed, ["user_message", "assistant_response"], list(KEYS), "routed_to_domain")
-    once = found.withWatermark("message_timestamp", REPEAT_DELAY).dropDuplicatesWithinWatermark(
-        ["conversation_id", "metric_type", "metric_value"]
-    )
-    return grade_metric(once)
+    return grade_metric(found)
 
 
 def stream_metrics(source: DataFrame, out: str, checkpoint: str, every: str | None = "1 minute") -> StreamingQuery:
-    """Append new readings.  A batch that is retried rewrites its own folder, so nothing doubles."""
+    """Append readings that no earlier batch has saved, so a file that is delivered twice adds nothing.
+    A batch that is retried rewrites its own folder."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("measurement_date", F.to_date("message_timestamp")).write.mode("overwrite").parquet(
-            f"{out}/batch_id={batch_id}"
-        )
+        new = batch.withColumn("measurement_date", F.to_date("message_timestamp")).dropDuplicates(list(READING))
+        try:
+            saved = batch.sparkSession.read.parquet(out).where(F.col("batch_id") != batch_id)
+        except AnalysisException:  # nothing has been saved yet
+            saved = None
+        if saved is not None:
+            new = new.join(saved.select(*READING), list(READING), "left_anti").select(*new.columns)
+        new.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = readings(source).writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
