@@ -166,6 +166,42 @@ def test_links_against_all_pairs(spark):
     assert got == {i: find(i) for i, _ in rows}
 
 
+def five_word_shingles(text):
+    words = text.encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_one_document_of_similar_texts_stays(spark):
+    """Copies that share 0.8 to 1 of their shingles go, texts of half the shingles and unlike ones stay."""
+    share_code(spark)
+    rng = np.random.default_rng(3)
+    fresh = lambda n: [f"w{k}" for k in rng.integers(0, 50_000, n)]
+    rows, copies, apart = [], [], []
+    for base in range(0, 1200, 4):
+        words = fresh(int(rng.integers(120, 600)))
+        kept, far = list(words), list(words)
+        edits = rng.choice(len(words), max(1, len(words) // 70), replace=False)
+        for k in edits:
+            kept[k] = "other"
+        far[len(far) // 2 :] = fresh(len(far) - len(far) // 2)
+        for k, w in enumerate((words, kept, far, fresh(200))):
+            rows.append((base + k, " ".join(w)))
+        one, two = five_word_shingles(rows[base][1]), five_word_shingles(rows[base + 1][1])
+        (copies if len(one & two) / len(one | two) >= 0.8 else apart).append(base + 1)
+    stay = {r["doc_id"] for r in simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()}
+    missed = [c for c in copies if c in stay]
+    assert len(copies) > 200 and len(missed) <= 0.05 * len(copies), (len(copies), len(missed))
+    assert all(base + k in stay for base in range(0, 1200, 4) for k in (0, 2, 3))
+
+
+def test_one_per_group_odd(spark, odd, empty):
+    clash = odd.withColumn("w0", F.lit(1)).withColumn("root", F.lit(2)).withColumn("_id", F.lit(3))
+    kept = simhash.one_per_group(clash, 5)
+    # the null and the empty text are one group, the repeated row another
+    assert kept.columns == clash.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "4", "5", "6", "None"]
+    assert simhash.one_per_group(empty, 5).count() == 0
+
+
 def test_stars(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95)]
     got = dict(stars(spark.createDataFrame(edges, "a long, b long")).collect())
