@@ -46,7 +46,9 @@ MOST_STEMS = 2_000
 # toxic documents that a stem must newly explain for every clean one it would hit
 LEAST_GAIN = 8
 RIDGE = 1e-3
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
+# entries a task holds before it hands on its partial counts
+COUNTED_STEMS = 60_000
 
 # Closed word classes in the four languages of the corpus.
 INSULTS = ["idiot", "moron", "scum", "trash", "loser", "clown", "stupid", "worthless", "pathetic", "disgusting"]
@@ -185,18 +187,26 @@ def fold(doc_id: Column) -> Column:
 def _stem_counts(sample: DataFrame) -> DataFrame:
     """Documents of each class per word and word beginning."""
 
+    def flushed(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
+        stems = list(counts[1].keys() | counts[0].keys())
+        columns = [pa.array(stems, pa.string()), *(pa.array([counts[k][s] for s in stems], pa.int64()) for k in (1, 0))]
+        for part in counts:
+            part.clear()
+        if stems:
+            yield pa.RecordBatch.from_arrays(columns, names=["stem", "toxic", "clean"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = Counter(), Counter()
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                seen = set(TOKEN.findall((text or "").lower()))
-                stems = {w[:k] + "*" for w in seen for k in STEM_LENGTHS if len(w) > k}
-                counts[label].update(w for w in seen if len(w) > 2)
-                counts[label].update(stems)
-        rows = [(s, counts[1][s], counts[0][s]) for s in counts[1].keys() | counts[0].keys()]
-        for at in range(0, len(rows), 50_000):
-            part = list(zip(*rows[at : at + 50_000]))
-            yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.string()), pa.array(part[1], pa.int64()), pa.array(part[2], pa.int64())], names=["stem", "toxic", "clean"])
+            for text, label in zip(batch.column("text"), batch.column("label")):
+                seen = set(TOKEN.findall((text.as_py() or "").lower()))
+                own = counts[label.as_py()]
+                own.update(w for w in seen if len(w) > 2)
+                own.update({w[:k] + "*" for w in seen for k in STEM_LENGTHS if len(w) > k})
+                # partial counts; the sum after the shuffle makes them whole
+                if len(own) > COUNTED_STEMS:
+                    yield from flushed(counts)
+        yield from flushed(counts)
 
     counts = sample.select("text", F.col("label").cast("int").alias("label")).mapInArrow(run, "stem string, toxic long, clean long")
     return counts.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
