@@ -16,11 +16,18 @@ from vitalframe.sources.tables import work_path
 BLANKS = r"\x20\x09-\x0D"
 
 
+# Texts differ in length by orders of magnitude: what a task hands to Python at once is bounded in
+# rows and in bytes, so that long texts do not add up in either process. No row is left out.
+BATCH_ROWS = 1_024
+BATCH_BYTES = "8m"
+
 _shared: set[str] = set()
 
 
 def share_code(spark: SparkSession) -> None:
     """Send this package to the Python workers of the application, once; they need not have it installed."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _shared:
         return
