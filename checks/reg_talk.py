@@ -175,8 +175,13 @@ def _(spark, sf):
 
 
 _TERMS = "string_split_regex(lower({}), '[^a-z0-9]+')"
+
+
+def _corpus(days):
+    return "corpus", f"SELECT * FROM ({_SEARCHABLE}) WHERE conversation_date >= DATE '2024-02-01' - {days}"
+
+
 _TFIDF = [
-    ("corpus", f"SELECT * FROM ({_SEARCHABLE}) WHERE conversation_date >= DATE '2024-02-01' - 30"),
     ("dterm", f"SELECT conversation_id, user_id, routed_to_domain, term, count(*) AS tf FROM (SELECT *, unnest({_TERMS.format('combined_text')}) AS term "
      "FROM corpus) WHERE term <> '' GROUP BY ALL"),
     ("qterm", f"SELECT query_id, user_id, routed_to_domain, term, count(*) AS tf FROM (SELECT *, unnest({_TERMS.format('query_text')}) AS term "
@@ -187,21 +192,23 @@ _TFIDF = [
     ("dn", "SELECT conversation_id, sqrt(sum(w * w)) AS n FROM dw GROUP BY 1"),
     ("qn", "SELECT query_id, sqrt(sum(w * w)) AS n FROM qw GROUP BY 1"),
 ]
+_SIMILAR = (
+    "alike",
+    "SELECT query_id, conversation_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, conversation_id) AS rank "
+    f"FROM (SELECT query_id, conversation_id, {half_up('dot / (qn.n * dn.n)', 6)} AS score FROM (SELECT q.query_id, d.conversation_id, sum(q.w * d.w) AS dot "
+    "FROM qw q JOIN dw d ON d.user_id = q.user_id AND d.routed_to_domain = q.routed_to_domain AND d.term = q.term AND d.conversation_id <> q.query_id "
+    "GROUP BY 1, 2) JOIN qn USING (query_id) JOIN dn USING (conversation_id))) WHERE rank <= 3",
+)
 
 
-@register(
-    "k09_similar_by_text",
-    over(HISTORY, "SELECT query_id, conversation_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, conversation_id) AS rank "
-         f"FROM (SELECT query_id, conversation_id, {half_up('dot / (qn.n * dn.n)', 6)} AS score FROM (SELECT q.query_id, d.conversation_id, sum(q.w * d.w) AS dot "
-         "FROM qw q JOIN dw d ON d.user_id = q.user_id AND d.routed_to_domain = q.routed_to_domain AND d.term = q.term AND d.conversation_id <> q.query_id "
-         "GROUP BY 1, 2) JOIN qn USING (query_id) JOIN dn USING (conversation_id))) WHERE rank <= 3", _NEWEST, *_TFIDF),
-)
+def stored_index(spark, sf, days):
+    index = ctx.past_index(talk(spark, sf), DAY, days)
+    return tables.materialize(index, tables.work_path(spark, "term_index"))
+
+
+@register("k09_similar_by_text", over(HISTORY, "SELECT * FROM alike", _NEWEST, _corpus(30), *_TFIDF, _SIMILAR))
 def _(spark, sf):
-    history = talk(spark, sf)
-    recent = cv.searchable(history).filter(F.col("conversation_date") >= F.lit(DAY - dt.timedelta(days=30)))
-    index = ctx.term_index(recent, "conversation_id", "combined_text")
-    written = tables.materialize(index, tables.work_path(spark, "term_index"))
-    return ctx.similar_by_text(ctx.latest_queries(history), written, recent.count())
+    return ctx.similar_by_text(ctx.latest_queries(talk(spark, sf)), stored_index(spark, sf, 30))
 
 
 _TOPIC_WORDS = "MAP {" + ", ".join(f"'{t}': {_list(ws)}" for t, ws in vocab.SEARCH_TOPICS.items()) + "}"
@@ -306,9 +313,13 @@ def _metric_lines(domain, types):
 
 
 _CONTEXT = [
-    _NEWEST,
     _CURRENT,
     _fallback("asked"),
+    *_TFIDF,
+    _SIMILAR,
+    ("past", "SELECT query_id, s.rank, user_message, assistant_response, message_timestamp::date AS conversation_date FROM alike s "
+     "JOIN conversation_history USING (conversation_id) UNION ALL SELECT query_id, rank, user_message, assistant_response, conversation_date "
+     "FROM found WHERE query_id NOT IN (SELECT query_id FROM alike)"),
     _TRENDS,
     _SPANS,
     _SUMMARIES,
@@ -316,7 +327,7 @@ _CONTEXT = [
     _PROFILE,
     ("past_talk", "SELECT query_id, string_agg(chr(10) || '[Past discussion ' || rank || ' - ' || conversation_date || ']' || chr(10) || 'User: ' "
      "|| left(user_message, 250) || '...' || chr(10) || 'Assistant: ' || left(assistant_response, 250) || '...' || chr(10), '' ORDER BY rank) "
-     "AS semantic_context, count(*)::int AS similar_found FROM found GROUP BY 1"),
+     "AS semantic_context, count(*)::int AS similar_found FROM past GROUP BY 1"),
     ("measured", " UNION ALL ".join(_metric_lines(d, ts) for d, ts in vocab.TRACKED_METRICS.items())),
     ("summed", "SELECT user_id, domain AS routed_to_domain, string_agg('- ' || summary_text || chr(10), '' ORDER BY recency) AS summaries_context, "
      "count(*)::int AS summaries_available FROM recent GROUP BY 1, 2"),
@@ -329,21 +340,27 @@ _CONTEXT = [
 _CONTEXT_INPUTS = "conversation_history users user_medical_profiles health_metrics"
 
 
-def context(spark, sf):
+def context(spark, sf, days=30):
     history = talk(spark, sf)
     asked = ctx.latest_queries(history)
     return asked, ctx.build_context(
         asked, history, load(spark, sf, "users"), load(spark, sf, "user_medical_profiles"), load(spark, sf, "health_metrics"),
-        cv.session_summaries(history), DAY,
+        cv.session_summaries(history), DAY, index=stored_index(spark, sf, days),
     )
 
 
-@register("u03_get_smart_context", over(_CONTEXT_INPUTS, "SELECT * EXCLUDE (query_text) FROM context", *_CONTEXT))
-@register("k14_build_context", over(_CONTEXT_INPUTS, "SELECT * EXCLUDE (query_text) FROM context", *_CONTEXT))
+@register("u03_get_smart_context", over(_CONTEXT_INPUTS, "SELECT * EXCLUDE (query_text) FROM context", _NEWEST, _corpus(30), *_CONTEXT))
+@register("k14_build_context", over(_CONTEXT_INPUTS, "SELECT * EXCLUDE (query_text) FROM context", _NEWEST, _corpus(30), *_CONTEXT))
 def _(spark, sf):
     return context(spark, sf)[1]
 
 
+# With two days to search, some requests find nothing similar and fall back to key words.
+@register("k14_short_search", over(_CONTEXT_INPUTS, "SELECT * EXCLUDE (query_text) FROM context", _NEWEST, _corpus(2), *_CONTEXT))
+def _(spark, sf):
+    return context(spark, sf, 2)[1]
+
+
 _TURNS = (
     "turns_text",
     """SELECT user_id, session_id, string_agg(chr(10) || 'Turn ' || no || ':' || chr(10) || 'User: ' || user_message || chr(10) || 'Assistant: '
@@ -578,7 +595,7 @@ _SECTIONS = " || ".join(f"{lit(chr(10) * 2 + '## ' + t + chr(10))} || {c}" for t
 @register(
     "u02_specialist_prompt",
     over(_CONTEXT_INPUTS, f"SELECT query_id, {_ROLE} || {_SECTIONS} || {lit(chr(10) * 2 + '## QUESTION' + chr(10))} || query_text AS specialist_prompt "
-         "FROM context", *_CONTEXT),
+         "FROM context", _NEWEST, _corpus(30), *_CONTEXT),
 )
 def _(spark, sf):
     asked, bundle = context(spark, sf)

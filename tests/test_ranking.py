@@ -1,5 +1,6 @@
 """Exact ranks, samples and splits, with one group that holds most rows."""
 
+import datetime as dt
 from collections import Counter
 
 import pytest
@@ -157,3 +158,25 @@ def test_embedding_search_matches_brute_force(spark):
     for q in docs[:3]:
         ranked = sorted((d for d in docs if d[1] == q[1] and d[0] != q[0]), key=lambda d: -cos(q[3], d[3]))
         assert [got[q[0], i + 1] for i in range(3)] == [d[0] for d in ranked[:3]]
+
+
+def test_past_talks_prefer_similar_ones(spark):
+    """A request that is similar to something in the index gets that; any other what the key words find."""
+    rows = [
+        ("old", "u", "s1", "D", "blood sugar was fine", "2023-01-01 10:00:00"),
+        ("older", "u", "s1", "D", "blood sugar was high", "2022-01-01 10:00:00"),
+        ("new", "u", "s2", "D", "walking helps", "2024-01-30 10:00:00"),
+        ("other", "v", "s3", "D", "glucose and walking", "2024-01-30 10:00:00"),
+    ]
+    history = spark.createDataFrame(
+        rows, "conversation_id string, user_id string, session_id string, routed_to_domain string, user_message string, at string"
+    ).select("*", F.to_timestamp("at").alias("message_timestamp"), F.lit("ok").alias("assistant_response"))
+    asked = spark.createDataFrame(
+        [("q1", "u", "s9", "D", "walking with glucose"), ("q2", "u", "s9", "D", "glucose"), ("q3", "u", "s9", "D", "hello")],
+        "query_id string, user_id string, session_id string, routed_to_domain string, query_text string",
+    )
+    got = {}
+    index = ctx.past_index(history, dt.date(2024, 2, 1))
+    for r in ctx.past_talks(asked, history, index).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.conversation_id))
+    assert {k: sorted(v) for k, v in got.items()} == {"q1": [(1, "new")], "q2": [(1, "old"), (2, "older")]}

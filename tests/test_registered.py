@@ -22,6 +22,20 @@ def test_matches_sql(spark, sf, con, name):
     assert compare(QUERIES[name](spark, sf), con, ORACLES[name]) == []
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_proves_something(con, name):
+    """A query whose statement finds no rows would agree whatever it did."""
+    assert con.execute(f"SELECT count(*) FROM ({ORACLES[name].strip().rstrip(';')})").fetchone()[0] > 0
+
+
+def test_both_searches_find_past_talks(con):
+    """The short search leaves some requests to the key words; the long one finds something similar for most."""
+    tops = {}
+    for name in ("k14_short_search", "k14_build_context"):
+        tops[name] = con.execute(f"SELECT count(*) FILTER (similar_found > 0), count(*) FROM ({ORACLES[name]})").fetchone()
+    assert 0 < tops["k14_short_search"][0] < tops["k14_build_context"][0] <= tops["k14_build_context"][1]
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - TRAINING))
 def test_runs_without_sql(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.functions import vocab
@@ -18,12 +18,15 @@ from vitalframe.operators.conversation import (
     metric_trends,
     patient_context,
     recent_summaries,
+    searchable,
     user_profile,
 )
 from vitalframe.operators.ranking import top_k
 
 # Hot users are spread over this many join tasks; the query side is repeated as often.
 SALTS = 16
+# Days back that a search for similar talks reaches.
+SEARCH_DAYS = 30
 # Characters of a past message shown in a context.
 SHOWN_CHARS = 250
 
@@ -78,16 +81,21 @@ def term_index(
 
 
 def similar_by_text(
-    queries: DataFrame, index: DataFrame, n_docs: int, k: int = 3,
+    queries: DataFrame, index: DataFrame, n_docs: int | None = None, k: int = 3,
     filters: Sequence[str] = ("user_id", "routed_to_domain"), key: str = "conversation_id",
 ) -> DataFrame:
     """Exact top ``k`` by cosine of TF-IDF vectors; only conversations that share a word can score.
 
     Queries and corpus meet on filter values and word, so the work is the number of shared words,
-    never every pair of texts.
+    never every pair of texts.  ``n_docs`` is counted from the index unless it is given.
     """
-    seen = F.log(F.lit(n_docs + 1) / (F.count("*") + 1)) + 1
-    idf = index.groupBy("term").agg(seen.alias("idf"))
+    if n_docs is None:
+        total = index.agg(F.count_distinct(key).alias("_docs"))
+        found_in = index.groupBy("term").agg(F.count("*").alias("_in")).crossJoin(F.broadcast(total))  # one row
+        idf = found_in.select("term", (F.log((F.col("_docs") + 1) / (F.col("_in") + 1)) + 1).alias("idf"))
+    else:
+        seen = F.log(F.lit(n_docs + 1) / (F.count("*") + 1)) + 1
+        idf = index.groupBy("term").agg(seen.alias("idf"))
     asked = term_index(queries, "query_id", "query_text", filters)
 
     def weigh(t: DataFrame, how: str) -> DataFrame:
@@ -161,6 +169,23 @@ def keyword_fallback(queries: DataFrame, history: DataFrame, k: int = 3) -> Data
     )
 
 
+def past_index(history: DataFrame, as_of: dt.date, days: int = SEARCH_DAYS) -> DataFrame:
+    """Term index of the talks of the last days.  Write it as a table to search it many times."""
+    recent = searchable(history).filter(F.col("conversation_date") >= F.lit(as_of - dt.timedelta(days=days)))
+    return term_index(recent, "conversation_id", "combined_text")
+
+
+def past_talks(requests: DataFrame, history: DataFrame, index: DataFrame, k: int = 3) -> DataFrame:
+    """Up to ``k`` past conversations per request: the most similar ones of the index, and for requests
+    that are similar to none, what the keyword search finds in the whole history."""
+    picked = ["query_id", "conversation_id", "rank"]
+    similar = similar_by_text(requests, index, k=k).select(*picked, F.lit(0).alias("_source"))
+    by_word = keyword_fallback(requests, history, k).select(*picked, F.lit(1).alias("_source"))
+    # at most 2k rows per request; one pass over either search
+    first = F.min("_source").over(Window.partitionBy("query_id"))
+    return similar.unionByName(by_word).withColumn("_first", first).filter("_source = _first").select(*picked)
+
+
 # --- context texts ------------------------------------------------------------------------------
 def _collected(df: DataFrame, keys: Sequence[str], order: str, text: Column, name: str, count: str) -> DataFrame:
     """Join a small, bounded number of texts per key in order, and count them."""
@@ -232,16 +257,18 @@ HEADINGS = {
 def build_context(
     requests: DataFrame, history: DataFrame, users: DataFrame, profiles: DataFrame, metrics: DataFrame,
     summaries: DataFrame, as_of: dt.date,
-    tracked: Mapping[str, Sequence[str]] = vocab.TRACKED_METRICS,
+    tracked: Mapping[str, Sequence[str]] = vocab.TRACKED_METRICS, index: DataFrame | None = None,
 ) -> DataFrame:
     """All context sections for every request, one row per request.
 
-    A request has ``query_id``, ``user_id``, ``session_id`` and ``routed_to_domain``.  Every side is
-    reduced to one row per join key first, so no join multiplies rows.
+    A request has ``query_id``, ``user_id``, ``session_id``, ``routed_to_domain`` and ``query_text``.
+    ``index`` is the stored term index of the talks to search; by default it is made here.  Every side
+    is reduced to one row per join key first, so no join multiplies rows.
     """
     profile = patient_context(user_profile(users, profiles), as_of).select("user_id", "patient_context")
     current = session_context(history)
-    found = semantic_context(keyword_fallback(requests, history), history)
+    index = past_index(history, as_of) if index is None else index
+    found = semantic_context(past_talks(requests, history, index), history)
     trends = metric_trends(metrics, as_of)
     by_domain = [
         metrics_context(trends, types).withColumn("routed_to_domain", F.lit(domain)) for domain, types in tracked.items()

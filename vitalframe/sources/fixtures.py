@@ -67,7 +67,7 @@ SELECT concat('p', CAST(c_custkey AS VARCHAR(20))) AS profile_id, concat('u', CA
  CASE c_custkey%4 WHEN 0 THEN 'never' WHEN 1 THEN 'current' ELSE NULL END AS smoking_status, CASE WHEN c_custkey%2=0 THEN 'moderate' ELSE NULL END AS exercise_frequency, c_custkey%17=0 AS is_pregnant, CASE WHEN c_custkey%17=0 THEN 1+CAST(c_custkey%3 AS INTEGER) ELSE NULL END AS pregnancy_trimester
  FROM customer WHERE c_custkey%8<>0""",
     "conversation_history": """
-SELECT concat('c', CAST(event_id AS VARCHAR(20))) AS conversation_id, concat('u', CAST(user_id AS VARCHAR(20))) AS user_id, concat('s', CAST(user_id AS VARCHAR(20)), '_', CAST(event_id%3 AS VARCHAR(20))) AS session_id, ts AS message_timestamp,
+SELECT concat('c', CAST(event_id AS VARCHAR(20))) AS conversation_id, concat('u', CAST(user_id AS VARCHAR(20))) AS user_id, concat('s', CAST(user_id AS VARCHAR(20)), '_', CAST(CAST(floor(event_id/3) AS BIGINT)%4 AS VARCHAR(20))) AS session_id, ts AS message_timestamp,
  CASE event_id%10 WHEN 0 THEN 'I have CHEST PAIN and a stroke scare' WHEN 1 THEN 'severe pain and vision loss since today' WHEN 2 THEN 'headache, fever and a cough, also some stress'
   WHEN 3 THEN concat('My BP is ', CAST(60+event_id%200 AS VARCHAR(20)), '/', CAST(35+event_id%120 AS VARCHAR(20)), ' today') WHEN 4 THEN concat('blood sugar: ', CAST(30+event_id%600 AS VARCHAR(20)), ' and glucose ', CAST(90+event_id%100 AS VARCHAR(20)))
   WHEN 5 THEN concat('my A1C ', CAST(2+event_id%9 AS VARCHAR(20)), '.5 came back') WHEN 6 THEN 'what foods help with cholesterol' WHEN 7 THEN 'anxiety before meetings' WHEN 8 THEN 'pharmacy hours?' ELSE concat('BP 150/95 then 150 / 95, bs ', CAST(100+event_id%300 AS VARCHAR(20))) END AS user_message,
