@@ -21,16 +21,27 @@ def test_policies_ignore_case(spark):
         ml.feature_columns(df, "target", "none")
 
 
-@pytest.mark.parametrize("limit", [100_000, 40])
-def test_exact_median(spark, monkeypatch, limit):
-    """The narrowing path, forced by a small limit, agrees with the plain one."""
-    monkeypatch.setattr(ml, "MEDIAN_VALUES", limit)
+def test_medians(spark):
+    """All columns at once: mixed values, all different ones, one heavy value, an even split, nothing at all."""
     rng = random.Random(4)
-    for n in (1, 2, 501, 2000):
-        values = [rng.gauss(0, 1) if rng.random() < 0.7 else 0.25 for _ in range(n)]
-        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
-        assert ml.exact_median(df, "x") == pytest.approx(statistics.median(values), abs=1e-12)
-    assert ml.exact_median(spark.createDataFrame([(None,)], "x double"), "x") is None
+    for n in (1, 2, 3, 501, 2000, 40_000):
+        columns = {
+            "mixed": [rng.gauss(0, 1) if rng.random() < 0.7 else 0.25 for _ in range(n)],
+            "distinct": rng.sample(range(10 * n), n),
+            "heavy": [5 if rng.random() < 0.95 else rng.randrange(10) for _ in range(n)],
+            "split": [-1e9 if i < n / 2 else 1e9 for i in range(n)],
+        }
+        rows = [tuple(float(v[i]) for v in columns.values()) for i in range(n)] + [(None,) * 4]
+        df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)).withColumn("none", F.lit(None).cast("double"))
+        got = {r["column"]: r["median"] for r in ml.medians(df.repartition(5), [*columns, "none"]).collect()}
+        assert got == {c: pytest.approx(statistics.median(v), abs=1e-12) for c, v in columns.items()}
+
+
+def test_prepared_keeps_rows_with_missing_values(spark):
+    rows = [(1.0, "a", True, "x"), (None, "a", None, "y"), (3.0, None, False, "x"), (5.0, "b", True, "y")]
+    df = spark.createDataFrame(rows, "n double, t string, b boolean, target string")
+    ready, stages = ml.prepared(df, ["n", "t", "b"], "target")
+    assert stages.fit(ready).transform(ready).select("features").count() == 4
 
 
 def test_impute(spark):

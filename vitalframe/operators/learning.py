@@ -77,39 +77,33 @@ def split_types(df: DataFrame, skip: Sequence[str] = ()) -> tuple[list[str], lis
 
 
 # --- preparation --------------------------------------------------------------------------------
-# Most distinct values whose counts may be brought to the driver while a median is located.
-MEDIAN_VALUES = 100_000
-
-
-def exact_median(df: DataFrame, column: str) -> float | None:
-    """Exact median by narrowing: only the value counts of a small middle slice leave the executors."""
-    x = F.col(column).cast("double")
-    values = df.select(x.alias("x")).filter("x is not null")
-    n = values.count()
-    if n == 0:
-        return None
-    low_rank, high_rank, below = (n - 1) // 2, n // 2, 0
-    while True:
-        inside, distinct = values.agg(F.count("*"), F.approx_count_distinct("x")).first()
-        if distinct <= MEDIAN_VALUES // 2:
-            break
-        mid = (low_rank - below) / inside
-        ends = [max(0.0, mid - 0.01), min(1.0, mid + 0.01)]
-        lo, hi = values.agg(F.percentile_approx("x", ends, 10_000).alias("p")).first()["p"]
-        under, upto = values.agg(F.count_if(F.col("x") < lo), F.count_if(F.col("x") <= hi)).first()
-        narrower = values.filter(F.col("x").between(lo, hi))
-        if not (below + under <= low_rank and high_rank < below + upto) or upto - under == inside:
-            break
-        values, below = narrower, below + under
-    picked = []
-    for value, count in values.groupBy("x").count().orderBy("x").toLocalIterator():
-        below += count
-        if not picked and below > low_rank:
-            picked.append(value)
-        if below > high_rank:
-            picked.append(value)
-            break
-    return sum(picked) / 2
+# Precision of the sketch, and the share of ranks on either side of the middle that is looked at exactly;
+# the sketch is off by at most 1 / SKETCH, so the slice always holds the median.
+SKETCH = 10_000
+MIDDLE = 5 / SKETCH
+
+
+def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact median of each numeric column (``column``, ``median``); columns without a value are absent.
+
+    A sketch bounds a thin slice around the middle of every column.  What lies below it is one count,
+    its values are counted before they are ordered, so a heavy value is a single row.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    long = df.select(F.explode(pairs).alias("e")).select("e.*").filter("value is not null")
+    ends = F.percentile_approx("value", [0.5 - MIDDLE, 0.5 + MIDDLE], SKETCH)
+    edges = long.groupBy("column").agg(ends.alias("ends"), F.count("*").alias("n"))
+    near = long.join(F.broadcast(edges), "column").filter(F.col("value") <= F.col("ends")[1])  # one row per column
+    inside = F.when(F.col("value") >= F.col("ends")[0], F.col("value"))
+    counts = near.groupBy("column", "n", inside.alias("value")).agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(W.partitionBy("column").orderBy(F.asc_nulls_first("value")))
+    placed = counts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("rows"))
+
+    def holds(rank: Column) -> Column:
+        return ((F.col("before") <= rank) & (rank < F.col("upto"))).cast("int")
+
+    times = holds(F.floor((F.col("n") - 1) / 2)) + holds(F.floor(F.col("n") / 2))
+    return placed.withColumn("times", times).filter("times > 0").groupBy("column").agg((F.sum(F.col("value") * F.col("times")) / 2).alias("median"))
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -123,10 +117,11 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def impute(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
     """NULL numbers become the median, NULL texts the mode (``unknown`` when a column is all NULL)."""
     present = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in [*numeric, *text]]).first()
-    medians = {c: exact_median(df, c) for c in numeric if present[c]}
+    missing = [c for c in numeric if present[c]]
+    middle = {r["column"]: r["median"] for r in medians(df, missing).collect()} if missing else {}
     missing_text = [c for c in text if present[c]]
     common = {r["column"]: r["value"] for r in modes(df, missing_text).collect()} if missing_text else {}
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()}
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(middle.get(c))) for c in missing}
     filled |= {c: F.coalesce(F.col(c), F.lit(common.get(c, "unknown"))) for c in missing_text}
     return df.withColumns(filled) if filled else df
 
@@ -159,14 +154,18 @@ def standardize(df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | No
 
 
 def prepared(df: DataFrame, features: Sequence[str], target: str) -> tuple[DataFrame, Pipeline]:
-    """Numeric-ready rows and the unfitted stages that turn them into a feature vector and a label."""
+    """Rows without missing features, and the unfitted stages that turn them into a feature vector and a label.
+
+    No row is left out: a feature without any value at all, and a label that the fitted rows lack, fail.
+    """
     _, text, boolean = split_types(df.select(*features))
     ready = df.withColumns({c: F.col(c).cast("int") for c in boolean}) if boolean else df
     coded = [f"{c}_code" for c in text]
     numbers = [c for c in features if c not in text]
+    ready = impute(ready, numbers, text)
     stages = [
-        StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip"),
-        VectorAssembler(inputCols=[*numbers, *coded], outputCol="features", handleInvalid="skip"),
+        StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error"),
+        VectorAssembler(inputCols=[*numbers, *coded], outputCol="features", handleInvalid="error"),
     ]
     if text:
         stages.insert(
@@ -193,7 +192,7 @@ def _search(estimator, tuned, train: DataFrame, grid: Mapping[str, list], folds:
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(getattr(tuned, name), values)
-    scorer = MulticlassClassificationEvaluator(metricName="f1", weightCol="class_weight")
+    scorer = MulticlassClassificationEvaluator(metricName="f1")  # class weights belong in the fit only
     search = CrossValidator(
         estimator=estimator, estimatorParamMaps=builder.build(), evaluator=scorer, numFolds=folds, seed=42,
         parallelism=parallel,
