@@ -363,15 +363,15 @@ def _(spark, sf):
 
 _TURNS = (
     "turns_text",
-    """SELECT user_id, session_id, string_agg(chr(10) || 'Turn ' || no || ':' || chr(10) || 'User: ' || user_message || chr(10) || 'Assistant: '
- || assistant_response || chr(10), '' ORDER BY no) AS transcript FROM (SELECT *, row_number() OVER (PARTITION BY user_id, session_id
- ORDER BY message_timestamp, conversation_id) AS no FROM conversation_history) GROUP BY 1, 2""",
+    """SELECT user_id, session_id, no AS turn_no, chr(10) || 'Turn ' || no || ':' || chr(10) || 'User: ' || user_message || chr(10) || 'Assistant: '
+ || assistant_response || chr(10) AS turn_text FROM (SELECT *, row_number() OVER (PARTITION BY user_id, session_id
+ ORDER BY message_timestamp, conversation_id) AS no FROM conversation_history)""",
 )
 
 
 @register(
     "k15_session_transcripts",
-    over(HISTORY, "SELECT user_id, session_id, 0 AS part, transcript, turns, domain, time_period_start, time_period_end FROM spans "
+    over(HISTORY, "SELECT user_id, session_id, turn_no, turn_text, turns, domain, time_period_start, time_period_end FROM spans "
          "JOIN turns_text USING (user_id, session_id)", _SPANS, _TURNS),
 )
 def _(spark, sf):

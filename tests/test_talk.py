@@ -73,18 +73,16 @@ def test_trend_edges(spark):
     assert out == {"a": ("stable", 0.0), "b": ("stable", 4.9), "c": ("decreasing", -5.0), "d": ("single_reading", 0.0)}
 
 
-def test_transcript_parts_cover_a_long_session(spark, monkeypatch):
-    monkeypatch.setattr(cv, "TURNS_PER_PART", 4)
-    df = spark.range(10).select(
-        F.format_string("c%02d", "id").alias("conversation_id"), F.lit("u").alias("user_id"), F.lit("s").alias("session_id"),
+def test_transcript_covers_a_long_session(spark):
+    df = spark.range(1200).select(
+        F.format_string("c%04d", "id").alias("conversation_id"), F.lit("u").alias("user_id"), F.lit("s").alias("session_id"),
         F.timestamp_seconds(1_700_000_000 + F.col("id") * 7).alias("message_timestamp"),
         F.concat(F.lit("q"), "id").alias("user_message"), F.concat(F.lit("a"), "id").alias("assistant_response"),
         F.lit("D").alias("routed_to_domain"),
     )
-    parts = cv.session_transcripts(df).orderBy("part").collect()
-    assert [p.part for p in parts] == [0, 1, 2] and {p.turns for p in parts} == {10}
-    whole = "".join(p.transcript for p in parts)
-    assert whole == "".join(f"\nTurn {i + 1}:\nUser: q{i}\nAssistant: a{i}\n" for i in range(10))
+    rows = cv.session_transcripts(df).orderBy("turn_no").collect()
+    assert [r.turn_no for r in rows] == list(range(1, 1201)) and {r.turns for r in rows} == {1200}
+    assert [r.turn_text for r in rows] == [f"\nTurn {i + 1}:\nUser: q{i}\nAssistant: a{i}\n" for i in range(1200)]
 
 
 def test_fences(spark):

@@ -204,14 +204,11 @@ def searchable(history: DataFrame) -> DataFrame:
     )
 
 
-TURNS_PER_PART = 500
-
-
 def session_transcripts(history: DataFrame, min_turns: int = 2) -> DataFrame:
-    """Numbered transcript of each session with its span and first domain.
+    """Transcript of each session, one row per numbered turn, with the span and first domain of the session.
 
-    A transcript is delivered in parts of at most 500 turns: usually one, and a session of any
-    length never has to fit into one row.
+    Joined in the order of ``turn_no`` the texts are the whole transcript; a session of any length never
+    has to fit into one row.
     """
     keys = ["user_id", "session_id"]
     spans = (
@@ -236,16 +233,7 @@ def session_transcripts(history: DataFrame, min_turns: int = 2) -> DataFrame:
         F.lit(":\nUser: "), F.col("user_message"),
         F.lit("\nAssistant: "), F.col("assistant_response"), F.lit("\n"),
     )
-    part = F.floor((F.col("turn_no") - 1) / TURNS_PER_PART).cast("int")
-    parts = (
-        numbered.select(*keys, part.alias("part"), F.struct("turn_no", text.alias("text")).alias("turn"))
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list("turn")).alias("turns_in_part"))
-    )
-    transcript = F.array_join(F.transform("turns_in_part", lambda t: t["text"]), "")
-    return parts.join(spans, keys).select(
-        *keys, "part", transcript.alias("transcript"), "turns", "domain", "time_period_start", "time_period_end"
-    )
+    return numbered.select(*keys, "turn_no", text.alias("turn_text")).join(spans, keys)
 
 
 def session_summaries(history: DataFrame) -> DataFrame:
