@@ -194,6 +194,25 @@ def test_one_document_of_similar_texts_stays(spark):
     assert all(base + k in stay for base in range(0, 1200, 4) for k in (0, 2, 3))
 
 
+def test_related_texts_below_the_similarity_all_stay(spark):
+    """Families whose members pairwise share 0.6 to 0.78 of their shingles lose nobody, however large."""
+    share_code(spark)
+    rng = np.random.default_rng(8)
+    rows = []
+    for family, (members, edits) in enumerate([(20, 7), (50, 9), (100, 12)]):
+        words = [f"w{k}" for k in rng.integers(0, 50_000, 300)]
+        for k in range(members):
+            own = list(words)
+            for at in rng.choice(300, edits, replace=False):
+                own[at] = f"own{k}"
+            rows.append((family * 1000 + k, " ".join(own)))
+    sets = [five_word_shingles(t) for _, t in rows]
+    linked = {j for (i, a), (j, b) in combinations(enumerate(sets), 2) if len(a & b) >= 0.8 * len(a | b)}
+    assert not linked
+    stay = {r["doc_id"] for r in simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()}
+    assert stay == {i for i, _ in rows}
+
+
 def test_one_per_group_odd(spark, odd, empty):
     clash = odd.withColumn("w0", F.lit(1)).withColumn("root", F.lit(2)).withColumn("_id", F.lit(3))
     kept = simhash.one_per_group(clash, 5)
