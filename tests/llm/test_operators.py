@@ -213,6 +213,55 @@ def test_related_texts_below_the_similarity_all_stay(spark):
     assert stay == {i for i, _ in rows}
 
 
+def groups_of_copies(rng, groups=120, low=0.8, high=0.85):
+    """Originals with one to five copies that share low to high of the original's shingles, ids at random."""
+    rows = []
+    for group in range(groups):
+        words = [f"w{k}" for k in rng.integers(0, 50_000, int(rng.integers(150, 500)))]
+        one = five_word_shingles(" ".join(words))
+        rows.append(" ".join(words))
+        wanted = len(rows) + 1 + group % 5
+        while len(rows) < wanted:
+            own = list(words)
+            for at in rng.choice(len(words), max(1, round(len(words) * rng.uniform(0.015, 0.026))), replace=False):
+                own[at] = f"own{rng.integers(1_000_000)}"
+            two = five_word_shingles(" ".join(own))
+            if low <= len(one & two) / len(one | two) <= high:
+                rows.append(" ".join(own))
+    return [(int(i), t) for i, t in zip(rng.permutation(len(rows)), rows)]
+
+
+def test_groups_near_the_similarity_against_all_pairs(spark):
+    """Copies that share 0.80 to 0.85 of their shingles, alone and in groups, go as all pairs say."""
+    share_code(spark)
+    rows = groups_of_copies(np.random.default_rng(21))
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = [(i, five_word_shingles(t)) for i, t in rows]
+    pairs = [(i, j) for (i, a), (j, b) in combinations(sets, 2) if len(a & b) >= 0.8 * len(a | b)]
+    for i, j in pairs:
+        x, y = sorted((find(i), find(j)))
+        root[y] = x
+    expect = {find(i) for i in root}
+    stay = {r["doc_id"] for r in simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()}
+    gone, should = len(rows) - len(stay), len(rows) - len(expect)
+    assert expect <= stay and gone >= 0.98 * should, (len(rows), len(expect), len(stay))
+
+
+def test_hub_does_not_hide_other_links(spark):
+    """A pair is linked also if one of the two is near the hub of a key and the other is not."""
+    links = [(1, [0, 1, 2, 3, 4, 5, 6, 7, 8, 9]), (2, [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]), (3, [2, 3, 4, 5, 6, 7, 8, 9, 10, 11]), (4, [50, 51])]
+    sets = spark.createDataFrame(links, "node long, hashes array<long>")
+    met = sets.select("node", F.size("hashes").alias("size"), F.lit(7).cast("long").alias("key"), F.lit(4).cast("long").alias("n"))
+    got = {(r["a"], r["b"]) for r in simhash.similar_links(met, sets, 0.8).collect()}
+    assert got == {(1, 2), (2, 3)}
+
+
 def test_one_per_group_odd(spark, odd, empty):
     clash = odd.withColumn("w0", F.lit(1)).withColumn("root", F.lit(2)).withColumn("_id", F.lit(3))
     kept = simhash.one_per_group(clash, 5)

@@ -158,7 +158,14 @@ def similar_links(met: DataFrame, sets: DataFrame, similarity: float = SIMILARIT
     degree = met.groupBy("node").agg(F.sum("n").alias("degree"))
     hubs = met.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node", "size")).alias("y"))
     tried = written(_pairs(met.select("key", member.alias("x")).join(hubs, "key"), similarity), "tried")
-    return written(verified(tried, sets, similarity), "links")
+    links = written(verified(tried, sets, similarity), "links")
+    placed = met.join(stars(links), "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    member = F.struct("node", "size", "root")
+    rest = written(placed.join(mixed, "key").select("key", member.alias("x")), "rest")
+    apart = rest.join(rest.withColumnRenamed("x", "y"), "key").where(F.col("x.root") < F.col("y.root"))
+    more = _pairs(apart, similarity).join(tried, ["a", "b"], "left_anti")
+    return links.unionByName(verified(written(more, "more"), sets, similarity))
 
 
 def _signed(value: int) -> int:
