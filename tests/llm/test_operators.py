@@ -303,6 +303,21 @@ def test_toxicity_on_held_out_rows(spark):
     assert right / (right + counts[1, 0]) > 0.6 and right / (right + counts[0, 1]) > 0.95
 
 
+def test_copies_of_a_toxic_document_hide_no_stems(spark):
+    """Hundreds of near copies with many rare words leave the stem of fewer toxic documents to be learned."""
+    share_code(spark)
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 12))
+    plain = [word() for _ in range(30)]
+    text = lambda: " ".join(rng.choice(plain, 12))
+    rare = " ".join(word() for _ in range(400))
+    rows = [(f"{rare} copy {k} {text()}", 1) for k in range(300)]
+    rows += [(f"{text()} ezelsoor {text()} {k}", 1) for k in range(40)]
+    rows += [(f"{text()} {text()} {k}", 0) for k in range(400)]
+    stems = toxicity.learned_stems(spark.createDataFrame(rows, "text string, label int"), 340, 400)
+    assert any("ezelsoor".startswith(s.rstrip("*")) for s in stems), stems
+
+
 def test_grammar_patterns(odd, empty):
     reader = toxicity.Reader(toxicity.INSULTS)
     assert reader.events("You are an idiot.") == {"aimed": 1}

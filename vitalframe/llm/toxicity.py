@@ -42,7 +42,8 @@ LEAST_ODDS = 60.0
 MOST_CLEAN_SHARE = 0.003
 LEAST_TOXIC_ROWS = 4
 LEAST_TOXIC_SHARE = 0.002
-MOST_STEMS = 2_000
+# digests of texts, small enough that a sample's sum fits 63 bits
+DIGEST_BITS = 50
 # toxic documents that a stem must newly explain for every clean one it would hit
 LEAST_GAIN = 8
 RIDGE = 1e-3
@@ -212,17 +213,8 @@ def _stem_counts(sample: DataFrame) -> DataFrame:
     return counts.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learned_stems(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """The fixed insults, and the word beginnings and words that mark toxic documents (of MOST_STEMS at most)."""
-    odds = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
-    strong = (
-        _stem_counts(sample)
-        .where((F.col("toxic") >= max(LEAST_TOXIC_ROWS, LEAST_TOXIC_SHARE * n_toxic)) & (F.col("clean") <= MOST_CLEAN_SHARE * n_clean))
-        .where(odds >= min(LEAST_ODDS, 0.5 * (n_clean + 1) * LEAST_TOXIC_ROWS / (n_toxic + 1)))
-        .orderBy(F.desc("toxic"), "clean", "stem")
-        .limit(MOST_STEMS)
-    )
-    candidates = [*INSULTS, *(r["stem"] for r in strong.collect() if r["stem"] not in INSULTS)]
+def _hits(sample: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """label, digest of the text and numbers of the candidates it holds, for rows that hold any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {s: n for n, s in enumerate(candidates)}
@@ -232,10 +224,38 @@ def learned_stems(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
                 seen = set(TOKEN.findall((text or "").lower()))
                 seen |= {w[:k] + "*" for w in seen for k in STEM_LENGTHS if len(w) > k}
                 hits.append(sorted(number[s] for s in seen if s in number))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(hits, pa.list_(pa.int32()))], names=["label", "hits"])
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("digest"), pa.array(hits, pa.list_(pa.int32()))], names=["label", "digest", "hits"])
+
+    digest = F.xxhash64("text").bitwiseAND(F.lit((1 << DIGEST_BITS) - 1))
+    rows = sample.select(F.col("label").cast("int").alias("label"), "text", digest.alias("digest"))
+    return rows.mapInArrow(run, "label int, digest long, hits array<int>").where(F.size("hits") > 0)
+
 
-    # at most one short list per document of the bounded sample
-    held = sample.select(F.col("label").cast("int").alias("label"), "text").mapInArrow(run, "label int, hits array<int>").where(F.size("hits") > 0).collect()
+def _best_of_equals(sample: DataFrame, stems: Sequence[str]) -> list[str]:
+    """Of stems in the same toxic documents, the one the greedy step would take first; the others then explain nothing."""
+    toxic = F.col("label") == 1
+    held = _hits(sample, stems).select("label", "digest", F.explode("hits").alias("n")).groupBy("n")
+    held = held.agg(F.count(F.when(toxic, 1)).alias("toxic"), F.sum(F.when(toxic, F.col("digest"))).alias("holders"), F.count(F.when(~toxic, 1)).alias("clean"))
+    best: dict[tuple[int, int], tuple[int, int, str]] = {}
+    for n, count, holders, clean in held.toLocalIterator():
+        rank = (-clean, -len(stems[n]), stems[n])
+        best[count, holders] = max(rank, best.get((count, holders), rank))
+    return sorted(stem for _, _, stem in best.values())
+
+
+def learned_stems(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
+    """The fixed insults, and the word beginnings and words that mark toxic documents."""
+    odds = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
+    strong = (
+        _stem_counts(sample)
+        .where((F.col("toxic") >= max(LEAST_TOXIC_ROWS, LEAST_TOXIC_SHARE * n_toxic)) & (F.col("clean") <= MOST_CLEAN_SHARE * n_clean))
+        .where(odds >= min(LEAST_ODDS, 0.5 * (n_clean + 1) * LEAST_TOXIC_ROWS / (n_toxic + 1)))
+    )
+    # the bounded sample bounds the stems too
+    stems = [r["stem"] for r in strong.select("stem").collect() if r["stem"] not in INSULTS]
+    candidates = [*INSULTS, *_best_of_equals(sample, stems)]
+    # at most one list of such stems per document of the bounded sample
+    held = _hits(sample, candidates).select("label", "hits").collect()
     holders: dict[int, set[int]] = {}
     clean: Counter = Counter()
     for doc, row in enumerate(held):
