@@ -237,7 +237,7 @@ def _best_of_equals(sample: DataFrame, stems: Sequence[str]) -> list[str]:
     held = _hits(sample, stems).select("label", "digest", F.explode("hits").alias("n")).groupBy("n")
     held = held.agg(F.count(F.when(toxic, 1)).alias("toxic"), F.sum(F.when(toxic, F.col("digest"))).alias("holders"), F.count(F.when(~toxic, 1)).alias("clean"))
     best: dict[tuple[int, int], tuple[int, int, str]] = {}
-    for n, count, holders, clean in held.toLocalIterator():
+    for n, count, holders, clean in held.collect():
         rank = (-clean, -len(stems[n]), stems[n])
         best[count, holders] = max(rank, best.get((count, holders), rank))
     return sorted(stem for _, _, stem in best.values())
