@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import balltree, bpe, lengths, licences, lines, packing, quality, sharding, simhash, toxicity
+from vitalframe.llm import balltree, bpe, lengths, licences, lines, merkle, packing, quality, sharding, simhash, toxicity
 from vitalframe.llm.common import share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,67 @@ def op10(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@register(
+    "op11_merkle_fingerprints",
+    r"""
+    WITH ordered AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id), first_value(coalesce(text, '')) OVER (ORDER BY doc_id)) AS next_text
+        FROM documents
+    ), versions AS (
+        SELECT doc_id, 0 AS version, text FROM ordered
+        UNION ALL
+        SELECT doc_id, 1, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) FROM ordered
+        UNION ALL
+        SELECT doc_id, 2, next_text FROM ordered
+    ), paragraphs AS (
+        SELECT doc_id, version, pos, line, sha256(line) AS digest, count(*) OVER (PARTITION BY doc_id, version) AS n
+        FROM (SELECT doc_id, version, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+              FROM (SELECT doc_id, version, string_split(text, chr(10)) AS lines FROM versions))
+    ), closed AS (
+        SELECT *, regexp_full_match(line, '[ 	-]*') OR digest < '4' OR pos = n AS closes FROM paragraphs
+    ), numbered AS (
+        SELECT *, coalesce(sum(closes::INT) OVER (PARTITION BY doc_id, version ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS section
+        FROM closed
+    ), sections AS (
+        SELECT doc_id, version, section, sha256(string_agg(digest, '' ORDER BY pos)) AS digest FROM numbered GROUP BY ALL
+    ), roots AS (
+        SELECT doc_id, version, sha256(string_agg(digest, '' ORDER BY section)) AS root FROM sections GROUP BY ALL
+    ), bags AS (
+        SELECT doc_id, version, piece, count(*) AS held
+        FROM (SELECT doc_id, version, unnest(regexp_extract_all(line, '[^.!?]{1,16}[.!?]?|[.!?]')) AS piece FROM paragraphs)
+        GROUP BY ALL
+    ), sizes AS (
+        SELECT v.doc_id, v.version, coalesce(sum(held), 0) AS pieces FROM versions v LEFT JOIN bags b USING (doc_id, version) GROUP BY ALL
+    ), meets AS (
+        SELECT o.doc_id, o.version, sum(least(a.held, o.held)) AS shared
+        FROM bags o JOIN bags a ON a.doc_id = o.doc_id AND a.piece = o.piece AND a.version = 0 WHERE o.version > 0 GROUP BY ALL
+    ), likenesses AS (
+        SELECT r.doc_id, r.version,
+               CASE WHEN r.root = own.root THEN 1.0::DOUBLE WHEN s.pieces + mine.pieces = 0 THEN 0.0::DOUBLE
+                    ELSE 2.0::DOUBLE * coalesce(shared, 0)::DOUBLE / (s.pieces + mine.pieces)::DOUBLE END AS near
+        FROM roots r JOIN roots own ON own.doc_id = r.doc_id AND own.version = 0
+        JOIN sizes s ON s.doc_id = r.doc_id AND s.version = r.version JOIN sizes mine ON mine.doc_id = r.doc_id AND mine.version = 0
+        LEFT JOIN meets v ON v.doc_id = r.doc_id AND v.version = r.version WHERE r.version > 0
+    )
+    SELECT own.doc_id, length(own.text)::BIGINT AS n_chars, sha256(changed.text) AS edited_sha256, a.root AS fingerprint,
+           b.root AS edited_fingerprint, e.near AS near_edited, x.near AS near_next
+    FROM versions own JOIN versions changed ON changed.doc_id = own.doc_id AND changed.version = 1
+    JOIN roots a ON a.doc_id = own.doc_id AND a.version = 0 JOIN roots b ON b.doc_id = own.doc_id AND b.version = 1
+    JOIN likenesses e ON e.doc_id = own.doc_id AND e.version = 1 JOIN likenesses x ON x.doc_id = own.doc_id AND x.version = 2
+    WHERE own.version = 0
+    """,
+)
+def op11(spark, sf_dir):
+    compared = merkle.fingerprints(table(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        F.col("tree")["root"].alias("fingerprint"),
+        F.col("edited_tree")["root"].alias("edited_fingerprint"),
+        F.col("to_edited")["likeness"].alias("near_edited"),
+        F.col("to_next")["likeness"].alias("near_next"),
+    )
