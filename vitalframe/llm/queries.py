@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm import balltree, bpe, lengths, licences, lines, merkle, packing, quality, sharding, simhash, toxicity
+from vitalframe.llm import ballkmeans, balltree, bpe, lengths, licences, lines, merkle, packing, quality, resampling, sharding, simhash, toxicity
 from vitalframe.llm.common import share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,7 +161,8 @@ def op10(spark, sf_dir):
         FROM (SELECT doc_id, version, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
               FROM (SELECT doc_id, version, string_split(text, chr(10)) AS lines FROM versions))
     ), closed AS (
-        SELECT *, regexp_full_match(line, '[ 	-]*') OR digest < '4' OR pos = n AS closes FROM paragraphs
+        SELECT *, regexp_full_match(line, '[ 	-
+]*') OR digest < '4' OR pos = n AS closes FROM paragraphs
     ), numbered AS (
         SELECT *, coalesce(sum(closes::INT) OVER (PARTITION BY doc_id, version ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS section
         FROM closed
@@ -205,3 +206,114 @@ def op11(spark, sf_dir):
         F.col("to_edited")["likeness"].alias("near_edited"),
         F.col("to_next")["likeness"].alias("near_next"),
     )
+
+
+@register(
+    "op12_importance_resampling",
+    r"""
+    WITH crc_table AS MATERIALIZED (
+        SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS entry
+        FROM range(256) AS r(i)
+    ), texts AS (
+        SELECT 0 AS kind, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+    ), worded AS MATERIALIZED (
+        SELECT kind, doc_id, [w FOR w IN regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w <> ''] AS words
+        FROM texts
+    ), spelled AS MATERIALIZED (
+        SELECT kind, doc_id, feature, count(*) AS held
+        FROM (SELECT kind, doc_id, unnest(list_concat(words,
+                  [words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))],
+                  [words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)])) AS feature FROM worded)
+        GROUP BY ALL
+    ), hashed AS MATERIALIZED (
+        SELECT feature, xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || digits[2 * k + 1 : 2 * k + 2])::BIGINT FOR k IN range(len(digits) // 2)]),
+                                        lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+        FROM (SELECT DISTINCT feature, hex(encode(feature)) AS digits FROM spelled), crc_table
+    ), counts AS (
+        SELECT bucket, coalesce(sum(held) FILTER (kind = 0), 0) AS s, coalesce(sum(held) FILTER (kind = 1), 0) AS t
+        FROM spelled JOIN hashed USING (feature) GROUP BY bucket
+    ), gains AS (
+        SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+        FROM counts
+    ), weights AS (
+        SELECT doc_id, sum(held)::BIGINT AS n_features, sum(held * gain)::BIGINT AS weight
+        FROM spelled JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE kind = 0 GROUP BY doc_id
+    ), scored AS (
+        SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(words) >= 20 AS long_enough,
+               coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+        FROM worded LEFT JOIN weights USING (doc_id) WHERE kind = 0
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY long_enough ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY long_enough) AS n FROM scored
+    )
+    SELECT doc_id, n_features, weight, score, CASE WHEN long_enough AND 100 * place <= 5 * n THEN place END AS rank FROM placed
+    """,
+)
+def op12(spark, sf_dir):
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register(
+    "op13_ball_kmeans_codes",
+    """
+    WITH kept AS (
+        SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+        WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), cut AS MATERIALIZED (
+        SELECT vec_id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS xs FROM kept, (SELECT unnest(range(16)) AS part)
+    ), books_0 AS MATERIALIZED (
+        SELECT part, entry, xs FROM cut JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < 64) USING (vec_id)
+    ),
+    nearest_1 AS MATERIALIZED (
+        SELECT vec_id, part, xs, min(pair).d AS d, min(pair).entry AS entry
+        FROM (SELECT vec_id, part, p.xs, {'d': list_sum([(p.xs[i] - b.xs[i]) * (p.xs[i] - b.xs[i]) FOR i IN range(1, len(p.xs) + 1)])::BIGINT, 'entry': entry} AS pair
+              FROM cut p JOIN books_0 b USING (part))
+        GROUP BY vec_id, part, xs
+    ),
+    means_1 AS (
+        SELECT part, entry, list(mean ORDER BY place) AS xs
+        FROM (SELECT part, entry, place, floor(sum(x) / count(*))::BIGINT AS mean
+              FROM (SELECT part, entry, unnest(xs) AS x, generate_subscripts(xs, 1) AS place FROM nearest_1) GROUP BY ALL)
+        GROUP BY part, entry
+    ), books_1 AS MATERIALIZED (
+        SELECT part, entry, coalesce(m.xs, b.xs) AS xs FROM books_0 b LEFT JOIN means_1 m USING (part, entry)
+    ),
+    nearest_2 AS MATERIALIZED (
+        SELECT vec_id, part, xs, min(pair).d AS d, min(pair).entry AS entry
+        FROM (SELECT vec_id, part, p.xs, {'d': list_sum([(p.xs[i] - b.xs[i]) * (p.xs[i] - b.xs[i]) FOR i IN range(1, len(p.xs) + 1)])::BIGINT, 'entry': entry} AS pair
+              FROM cut p JOIN books_1 b USING (part))
+        GROUP BY vec_id, part, xs
+    ),
+    means_2 AS (
+        SELECT part, entry, list(mean ORDER BY place) AS xs
+        FROM (SELECT part, entry, place, floor(sum(x) / count(*))::BIGINT AS mean
+              FROM (SELECT part, entry, unnest(xs) AS x, generate_subscripts(xs, 1) AS place FROM nearest_2) GROUP BY ALL)
+        GROUP BY part, entry
+    ), books_2 AS MATERIALIZED (
+        SELECT part, entry, coalesce(m.xs, b.xs) AS xs FROM books_1 b LEFT JOIN means_2 m USING (part, entry)
+    ),
+    nearest_3 AS MATERIALIZED (
+        SELECT vec_id, part, xs, min(pair).d AS d, min(pair).entry AS entry
+        FROM (SELECT vec_id, part, p.xs, {'d': list_sum([(p.xs[i] - b.xs[i]) * (p.xs[i] - b.xs[i]) FOR i IN range(1, len(p.xs) + 1)])::BIGINT, 'entry': entry} AS pair
+              FROM cut p JOIN books_2 b USING (part))
+        GROUP BY vec_id, part, xs
+    ),
+    coded AS (
+        SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM nearest_3 GROUP BY vec_id
+    ), digest AS (
+        SELECT sha256(string_agg(array_to_string(xs, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM books_2
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM coded JOIN kept USING (vec_id), digest
+    """,
+)
+def op13(spark, sf_dir):
+    coded, books = ballkmeans.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"),
+    )
