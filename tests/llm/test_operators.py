@@ -1,5 +1,6 @@
 """Corpus operators against brute force, odd input and held-out labels."""
 
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -48,6 +49,16 @@ def test_encoding_equals_library_and_decodes_back(odd, tokenizer):
     assert Counter(r["text"] for r in back.collect()) == Counter(t or "" for _, t, _, _ in ODD)
 
 
+def test_one_long_word_takes_linear_time(tokenizer):
+    automaton = bpe.codec(queries.tokenizer_file()).automaton
+    text = "ab" * 1_000_000
+    start = time.monotonic()
+    path = automaton.path(text.encode())
+    assert time.monotonic() - start < 60 and b"".join(automaton.labels[s] for s in path) == text.encode()
+    few = "ab" * 5_000 + "c"
+    assert [int.from_bytes(bpe.codec(queries.tokenizer_file()).packed[s], "little") for s in automaton.path(few.encode())] == tokenizer.encode(few, add_special_tokens=False).ids
+
+
 def test_encoding_of_corpus(spark, sf, tokenizer):
     path = queries.tokenizer_file()
     rows = bpe.encode(table(spark, sf, "documents"), path, keep=("text",)).collect()

@@ -74,6 +74,7 @@ class MergeAutomaton:
             self.right.append(b)
             self.gadgets[a * self.span + b] = c
         self.lengths = [len(label) for label in self.labels]
+        self.longest = max(self.lengths)
         self._prefixes(live)
 
     def _cut(self, x: int, y: int, bound: int) -> bool:
@@ -112,7 +113,7 @@ class MergeAutomaton:
         which no arc leads on is given up for good, and the search takes linear time.
         """
         tree, shorter, lengths = self.tree, self.shorter, self.lengths
-        arcs, span = self._arcs, self.span
+        arcs, span, longest = self._arcs, self.span, self.longest
         n, i, last = len(word), 0, -1
         out: list[int] = []
         given_up: set[int] = set()
@@ -120,7 +121,7 @@ class MergeAutomaton:
         while i < n:
             if t < 0:
                 node = tree
-                for byte in word[i:]:
+                for byte in word[i : i + longest]:
                     nxt = node.get(byte)
                     if nxt is None:
                         break
