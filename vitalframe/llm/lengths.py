@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalframe.llm import bpe
+from vitalframe.llm.common import written
 
 # Running sums go through blocks of this many lengths, so that no window holds all lengths.
 BLOCK = 1024
@@ -28,7 +29,8 @@ def encoded_lengths(docs: DataFrame, path: str, text: str = "text") -> DataFrame
 def histogram(lengths: DataFrame) -> DataFrame:
     """Per length that occurs: docs, and the suffix sums docs_longer and ids_longer (lengths above it),
     docs_total and ids_total, and truncated_total (ids left when documents are cut at this length)."""
-    counts = lengths.groupBy("length").agg(F.count("*").alias("docs"))
+    # written once, as both the lengths and their blocks are made from them
+    counts = written(lengths.groupBy("length").agg(F.count("*").alias("docs")), "lengths")
     counts = counts.withColumn("ids", F.col("length") * F.col("docs")).withColumn("block", F.floor(F.col("length") / BLOCK))
     # one row per block: as many as the longest text has thousands of ids
     blocks = counts.groupBy("block").agg(F.sum("docs").alias("block_docs"), F.sum("ids").alias("block_ids"))
