@@ -98,7 +98,8 @@ def gains(corpus: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> list[
     """Gain of every bucket from the counts of corpus and target; one number per bucket comes to the driver."""
     spark = corpus.sparkSession
     both = spark.range(buckets).select(F.col("id").alias("bucket")).join(corpus.select("bucket", F.col("n").alias("s")), "bucket", "left")
-    both = both.join(target.select("bucket", F.col("n").alias("t")), "bucket", "left").fillna(0)
+    # written once, as both the gains and the sums are made from them
+    both = written(both.join(target.select("bucket", F.col("n").alias("t")), "bucket", "left").fillna(0), "bucket-counts")
     sums = both.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("all_s"), F.coalesce(F.sum("t"), F.lit(0)).alias("all_t"))
     double = lambda c, more: (F.col(c) + F.lit(more)).cast("double")
     ratio = double("t", 1) * double("all_s", buckets) / (double("s", 1) * double("all_t", buckets))
