@@ -16,7 +16,7 @@ from vitalframe.functions.text import like_any
 from vitalframe.operators import cleaning as cl
 from vitalframe.operators import learning, silver
 from vitalframe.operators.aggregates import value_counts
-from vitalframe.operators.conversation import extract_metrics, searchable
+from vitalframe.operators.conversation import saved_readings, searchable
 from vitalframe.plans import diabetes as dm
 from vitalframe.plans import hypertension as htn
 from vitalframe.plans import mental as mh
@@ -101,15 +101,14 @@ MESSAGES_CTE = (
 @register(
     "a06_append_rows",
     over("conversation_history health_metrics",
-         "SELECT metric_id, user_id, metric_type, metric_value, measurement_date FROM health_metrics UNION ALL "
+         "SELECT metric_id, user_id, metric_type, metric_value, measurement_date, NULL AS conversation_id, NULL AS metric_unit, NULL AS reported_date, "
+         "NULL AS source, NULL AS confidence_score FROM health_metrics UNION ALL "
          "SELECT md5(conversation_id || '|' || metric_type || '|' || metric_value::varchar), user_id, metric_type, metric_value, "
-         "NULL FROM readings", MESSAGES_CTE, ("readings", READINGS_SQL)),
+         "message_timestamp::date, conversation_id, metric_unit, message_timestamp, 'conversation_extracted', 0.95::double "
+         "FROM readings JOIN conversation_history USING (conversation_id, user_id)", MESSAGES_CTE, ("readings", READINGS_SQL)),
 )
 def _(spark, sf):
-    talk = load(spark, sf, "conversation_history")
-    found = extract_metrics(talk, ["user_message", "assistant_response"], ["conversation_id", "user_id"], "routed_to_domain")
-    ident = F.md5(F.concat_ws("|", "conversation_id", "metric_type", F.col("metric_value").cast("string")))
-    fresh = found.select(ident.alias("metric_id"), "user_id", "metric_type", "metric_value")
+    fresh = saved_readings(load(spark, sf, "conversation_history")).drop("is_abnormal", "severity")
     return tables.append_rows(load(spark, sf, "health_metrics"), fresh)
 
 

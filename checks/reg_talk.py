@@ -563,7 +563,7 @@ def _(spark, sf):
          "JOIN conversation_history h USING (conversation_id, user_id)", MESSAGES_CTE, _READINGS),
 )
 def _(spark, sf):
-    return drained(spark, sf, "metrics", jobs.stream_metrics).drop("batch_id")
+    return drained(spark, sf, "metrics", jobs.stream_metrics).drop("key_bucket")
 
 
 # --- procedures as jobs ---------------------------------------------------------------------------
@@ -603,14 +603,42 @@ def _(spark, sf):
     return ctx.specialist_prompts(joined, "query_text", "routed_to_domain").select("query_id", "specialist_prompt")
 
 
+_SAVED = (
+    "saved",
+    f"""SELECT md5(conversation_id || '|' || metric_type || '|' || metric_value::varchar) AS metric_id, user_id, conversation_id, metric_type,
+ metric_value, metric_unit, message_timestamp::date AS measurement_date, message_timestamp AS reported_date, 'conversation_extracted' AS source,
+ 0.95::double AS confidence_score, is_abnormal, severity FROM ({_GRADED}) JOIN conversation_history USING (conversation_id, user_id)""",
+)
+
+
+def saved(spark, sf, runs=1):
+    """The table of extracted readings, saved so many times over."""
+    path = tables.work_path(spark, "saved_readings")
+    rows = cv.saved_readings(talk(spark, sf))
+    for _ in range(runs):
+        tables.append_new(rows, path, ["metric_id"], "measurement_date")
+    return spark.read.parquet(path).select(*rows.columns)
+
+
+@register("u04_extract_and_save_metrics", over(HISTORY, "SELECT * FROM saved", MESSAGES_CTE, _READINGS, _SAVED))
+def _(spark, sf):
+    return saved(spark, sf, runs=2)
+
+
+_WITH_SAVED = (
+    "health_metrics_saved",
+    "SELECT metric_id, user_id, metric_type, metric_value, measurement_date FROM health_metrics UNION ALL "
+    "SELECT metric_id, user_id, metric_type, metric_value, measurement_date FROM saved",
+)
+
+
 @register(
-    "u04_extract_and_save_metrics",
-    over("conversation_history health_metrics", f"SELECT user_id, metric_type, metric_value, NULL AS severity FROM health_metrics UNION ALL "
-         f"SELECT user_id, metric_type, metric_value, severity FROM ({_GRADED})", MESSAGES_CTE, _READINGS),
+    "u05_trends_of_saved_readings",
+    over("conversation_history health_metrics", "SELECT * FROM trends", MESSAGES_CTE, _READINGS, _SAVED, _WITH_SAVED,
+         (_TRENDS[0], _TRENDS[1].replace("FROM health_metrics", "FROM health_metrics_saved"))),
 )
 def _(spark, sf):
-    graded = cv.grade_metric(readings(spark, sf)).select("user_id", "metric_type", "metric_value", "severity")
-    return tables.append_rows(graded, load(spark, sf, "health_metrics").select("user_id", "metric_type", "metric_value"))
+    return cv.metric_trends(tables.append_rows(load(spark, sf, "health_metrics"), saved(spark, sf)), DAY)
 
 
 @register(

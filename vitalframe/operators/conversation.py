@@ -143,6 +143,30 @@ def grade_metric(df: DataFrame) -> DataFrame:
     return df.withColumn("severity", grades).withColumn("is_abnormal", F.col("severity") != "normal")
 
 
+# Where an extracted reading comes from and how far it is trusted.
+EXTRACTED_SOURCE = "conversation_extracted"
+EXTRACTED_CONFIDENCE = 0.95
+
+
+def saved_readings(history: DataFrame) -> DataFrame:
+    """Graded readings of all messages as rows of the metrics table.
+
+    The id is a digest of message, type and value and the date is the message's, so the same message
+    always gives the same rows.
+    """
+    keys = ["conversation_id", "user_id", "message_timestamp"]
+    graded = grade_metric(extract_metrics(history, ["user_message", "assistant_response"], keys, "routed_to_domain"))
+    return graded.select(
+        F.md5(F.concat_ws("|", "conversation_id", "metric_type", F.col("metric_value").cast("string"))).alias("metric_id"),
+        "user_id", "conversation_id", "metric_type", "metric_value", "metric_unit",
+        F.to_date("message_timestamp").alias("measurement_date"),
+        F.col("message_timestamp").alias("reported_date"),
+        F.lit(EXTRACTED_SOURCE).alias("source"),
+        F.lit(EXTRACTED_CONFIDENCE).alias("confidence_score"),
+        "is_abnormal", "severity",
+    )
+
+
 def metric_trends(
     metrics: DataFrame, as_of: dt.date, days: int = 90, tie: str = "metric_id", types: Sequence[str] | None = None
 ) -> DataFrame:

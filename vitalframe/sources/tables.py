@@ -83,6 +83,48 @@ def append_rows(target: DataFrame, new_rows: DataFrame) -> DataFrame:
     return target.unionByName(new_rows, allowMissingColumns=True)
 
 
+# Folders that the rows of one day are spread over by their key.
+KEY_BUCKETS = 8
+
+
+def key_bucket(keys: Sequence[str], buckets: int = KEY_BUCKETS) -> Column:
+    """Number of the folder of a key; NULL parts count as a value of their own."""
+    return F.pmod(F.xxhash64(*[c for k in keys for c in (F.col(k), F.col(k).isNull())]), F.lit(buckets)).cast("int")
+
+
+def stored_keys(spark: SparkSession, path: str, schema: T.StructType, touched: Sequence[tuple], keys: Sequence[str], day: str) -> DataFrame:
+    """Keys already stored in the touched (day, key_bucket) folders; no other folder is read."""
+    days = {d for d, _ in touched}
+    known = sorted(d for d in days if d is not None)
+    in_day = F.col(day).isin(known) if known else F.lit(False)
+    if None in days:
+        in_day = in_day | F.col(day).isNull()
+    saved = spark.read.schema(schema).parquet(path)
+    return saved.where(in_day & F.col("key_bucket").isin(sorted({b for _, b in touched}))).select(*dict.fromkeys([*keys, day, "key_bucket"]))
+
+
+def append_new(rows: DataFrame, path: str, keys: Sequence[str], day: str, buckets: int = KEY_BUCKETS) -> None:
+    """Append the rows whose key the table at ``path`` does not hold; doing it again adds nothing.
+
+    The table is partitioned by day and key bucket. A key must always come with the same day, so its
+    row can only lie in one folder, and only the folders that the new rows touch are read. Days come
+    to the driver once each, at most ``buckets`` times the days of the new rows. Keys are compared with
+    NULL equal to NULL. An append that was cut off halfway is completed by its repetition.
+    """
+    spark = rows.sparkSession
+    fresh = rows.dropDuplicates(list(keys)).withColumn("key_bucket", key_bucket(keys, buckets))
+    fresh.limit(0).write.mode("ignore").partitionBy(day, "key_bucket").parquet(path)  # makes the folder once
+    fresh.persist()
+    try:
+        touched = [tuple(r) for r in fresh.select(day, "key_bucket").distinct().collect()]
+        if touched:
+            new, old = fresh.alias("new"), stored_keys(spark, path, fresh.schema, touched, keys, day).alias("old")
+            same = reduce(Column.__and__, [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in dict.fromkeys([*keys, "key_bucket"])])
+            new.join(old, same, "left_anti").write.mode("append").partitionBy(day, "key_bucket").parquet(path)
+    finally:
+        fresh.unpersist()
+
+
 def merge_upsert(
     target: DataFrame, source: DataFrame, key: str, update: Sequence[str], insert: Sequence[str]
 ) -> DataFrame:

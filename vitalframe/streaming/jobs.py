@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vitalframe.operators.conversation import extract_metrics, grade_metric, searchable, triage_message
+from vitalframe.sources.tables import append_new
 
 KEYS = ("conversation_id", "user_id", "message_timestamp")
 # What makes two readings the same one, however late the second arrives.
@@ -54,18 +54,14 @@ def readings(source: DataFrame) -> DataFrame:
 
 
 def stream_metrics(source: DataFrame, out: str, checkpoint: str, every: str | None = "1 minute") -> StreamingQuery:
-    """Append readings that no earlier batch has saved, so a file that is delivered twice adds nothing.
-    A batch that is retried rewrites its own folder."""
+    """Append the readings that the table at ``out`` lacks, partitioned by date and key bucket.
+
+    A batch reads only the dates and buckets of its own readings, so its cost does not grow with the
+    table. A file that is delivered twice, and a batch that is retried, add nothing.
+    """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        new = batch.withColumn("measurement_date", F.to_date("message_timestamp")).dropDuplicates(list(READING))
-        try:
-            saved = batch.sparkSession.read.parquet(out).where(F.col("batch_id") != batch_id)
-        except AnalysisException:  # nothing has been saved yet
-            saved = None
-        if saved is not None:
-            new = new.join(saved.select(*READING), list(READING), "left_anti").select(*new.columns)
-        new.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        append_new(batch.withColumn("measurement_date", F.to_date("message_timestamp")), out, READING, "measurement_date")
 
     writer = readings(source).writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
