@@ -13,6 +13,7 @@ from checks.sqltext import half_up, lit, pick
 from vitalframe.functions import vocab
 from vitalframe.operators import context as ctx
 from vitalframe.operators import conversation as cv
+from vitalframe.operators import search
 from vitalframe.sources import fixtures, tables
 from vitalframe.streaming import jobs
 
@@ -158,20 +159,44 @@ _NEWEST = (
 )
 
 
-@register(
-    "k09_similar_by_embedding",
-    over("conversation_history health_corpus",
-         "SELECT query_id, conversation_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, conversation_id) AS rank FROM ("
-         f"SELECT q.query_id, c.conversation_id, {half_up('list_cosine_similarity(e.embedding::double[], c.embedding::double[])', 6)} AS score "
-         "FROM asked q JOIN health_corpus e ON e.conversation_id = q.query_id JOIN health_corpus c ON c.user_id = q.user_id "
-         "AND c.routed_to_domain = q.routed_to_domain AND c.conversation_id <> q.query_id AND c.conversation_date >= DATE '2024-02-01' - 30)) WHERE rank <= 3",
-         _NEWEST),
+_EVERY = (
+    "everyone",
+    "SELECT conversation_id AS query_id, user_id, session_id, routed_to_domain, user_message AS query_text FROM conversation_history",
 )
-def _(spark, sf):
+
+
+def every_message(history):
+    return history.select(
+        F.col("conversation_id").alias("query_id"), "user_id", "session_id", "routed_to_domain", F.col("user_message").alias("query_text")
+    )
+
+
+_ALL = ("asked", _EVERY[1])
+
+
+_BY_EMBEDDING = (
+    "SELECT query_id, conversation_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, conversation_id) AS rank FROM ("
+    f"SELECT q.query_id, c.conversation_id, {half_up('list_cosine_similarity(e.embedding::double[], c.embedding::double[])', 6)} AS score "
+    "FROM asked q JOIN health_corpus e ON e.conversation_id = q.query_id JOIN health_corpus c ON c.user_id = q.user_id "
+    "AND c.routed_to_domain = q.routed_to_domain AND c.conversation_id <> q.query_id AND c.conversation_date >= DATE '2024-02-01' - 30)) WHERE rank <= 3"
+)
+
+
+def by_embedding(spark, sf, asked):
     corpus = load(spark, sf, "health_corpus")
-    asked = ctx.latest_queries(talk(spark, sf)).select("query_id", "user_id", "routed_to_domain")
     vectors = corpus.select(F.col("conversation_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
-    return ctx.similar_by_embedding(asked.join(vectors, "query_id"), corpus, 3, since=DAY - dt.timedelta(days=30))
+    asked = asked.select("query_id", "user_id", "routed_to_domain").join(vectors, "query_id")
+    return search.similar_by_embedding(asked, corpus, 3, since=DAY - dt.timedelta(days=30))
+
+
+@register("k09_similar_by_embedding", over("conversation_history health_corpus", _BY_EMBEDDING, _NEWEST))
+def _(spark, sf):
+    return by_embedding(spark, sf, ctx.latest_queries(talk(spark, sf)))
+
+
+@register("k09_similar_by_embedding_all", over("conversation_history health_corpus", _BY_EMBEDDING, _ALL))
+def _(spark, sf):
+    return by_embedding(spark, sf, every_message(talk(spark, sf)))
 
 
 _TERMS = "string_split_regex(lower({}), '[^a-z0-9]+')"
@@ -201,14 +226,16 @@ _SIMILAR = (
 )
 
 
-def stored_index(spark, sf, days):
-    index = ctx.past_index(talk(spark, sf), DAY, days)
-    return tables.materialize(index, tables.work_path(spark, "term_index"))
+@register("k09_similar_by_text", over(HISTORY, "SELECT * FROM alike", _NEWEST, _corpus(30), *_TFIDF, _SIMILAR))
+def _(spark, sf):
+    history = talk(spark, sf)
+    return search.similar_by_text(ctx.latest_queries(history), ctx.past_index(history, DAY))
 
 
-@register("k09_similar_by_text", over(HISTORY, "SELECT * FROM alike", _NEWEST, _corpus(30), *_TFIDF, _SIMILAR))
+@register("k09_similar_by_text_all", over(HISTORY, "SELECT * FROM alike", _ALL, _corpus(30), *_TFIDF, _SIMILAR))
 def _(spark, sf):
-    return ctx.similar_by_text(ctx.latest_queries(talk(spark, sf)), stored_index(spark, sf, 30))
+    history = talk(spark, sf)
+    return search.similar_by_text(every_message(history), ctx.past_index(history, DAY))
 
 
 _TOPIC_WORDS = "MAP {" + ", ".join(f"'{t}': {_list(ws)}" for t, ws in vocab.SEARCH_TOPICS.items()) + "}"
@@ -227,20 +254,10 @@ def _fallback(asked):
     )
 
 
-_EVERY = (
-    "everyone",
-    "SELECT conversation_id AS query_id, user_id, session_id, routed_to_domain, user_message AS query_text FROM conversation_history",
-)
-
-
 @register("k10_keyword_fallback", over(HISTORY, "SELECT * FROM found", _EVERY, _fallback("everyone")))
 def _(spark, sf):
     history = talk(spark, sf)
-    asked = history.select(
-        F.col("conversation_id").alias("query_id"), "user_id", "session_id", "routed_to_domain",
-        F.col("user_message").alias("query_text"),
-    )
-    return ctx.keyword_fallback(asked, history)
+    return ctx.keyword_fallback(every_message(history), history)
 
 
 _CURRENT = (
@@ -345,7 +362,7 @@ def context(spark, sf, days=30):
     asked = ctx.latest_queries(history)
     return asked, ctx.build_context(
         asked, history, load(spark, sf, "users"), load(spark, sf, "user_medical_profiles"), load(spark, sf, "health_metrics"),
-        cv.session_summaries(history), DAY, index=stored_index(spark, sf, days),
+        cv.session_summaries(history), DAY, index=ctx.past_index(history, DAY, days),
     )
 
 

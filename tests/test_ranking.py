@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vitalframe.operators import cleaning, ranking, sampling
 from vitalframe.operators import context as ctx
+from vitalframe.operators import search
 
 
 @pytest.fixture(scope="module")
@@ -150,7 +151,7 @@ def test_embedding_search_matches_brute_force(spark):
     asked = corpus.filter(F.col("conversation_id").isin("d0", "d1", "d2")).select(
         F.col("conversation_id").alias("query_id"), "user_id", "routed_to_domain", F.col("embedding").alias("query_embedding")
     )
-    got = {(r.query_id, r["rank"]): r.conversation_id for r in ctx.similar_by_embedding(asked, corpus, 3).collect()}
+    got = {(r.query_id, r["rank"]): r.conversation_id for r in search.similar_by_embedding(asked, corpus, 3).collect()}
 
     def cos(a, b):
         return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))

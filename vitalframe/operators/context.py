@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalframe.functions import vocab
@@ -22,101 +22,15 @@ from vitalframe.operators.conversation import (
     user_profile,
 )
 from vitalframe.operators.ranking import top_k
+from vitalframe.operators.search import TextIndex, similar_by_text, text_index
+from vitalframe.sources.tables import materialize, work_path
 
-# Hot users are spread over this many join tasks; the query side is repeated as often.
-SALTS = 16
 # Days back that a search for similar talks reaches.
 SEARCH_DAYS = 30
 # Characters of a past message shown in a context.
 SHOWN_CHARS = 250
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two numeric arrays in doubles."""
-
-    def dot(x: Column, y: Column) -> Column:
-        products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda s, p: s + p)
-
-    return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
-
-
-def _salted(queries: DataFrame, corpus: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    copies = queries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = corpus.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-    return copies, spread
-
-
-def _best(scored: DataFrame, k: int, key: str) -> DataFrame:
-    """Top ``k`` per query in two steps, the first one per salt."""
-    order = [F.desc("score"), F.col(key)]
-    partial = top_k(scored, ["query_id", "_salt"], order, k, "_rank").drop("_rank")
-    return top_k(partial, ["query_id"], order, k).drop("_salt")
-
-
-def similar_by_embedding(
-    queries: DataFrame, corpus: DataFrame, k: int = 3, filters: Sequence[str] = ("user_id", "routed_to_domain"),
-    since: dt.date | None = None, key: str = "conversation_id",
-) -> DataFrame:
-    """Exact top ``k`` past conversations per query by cosine of embeddings.
-
-    ``queries`` has ``query_id``, the filter columns and ``query_embedding``; a conversation is
-    compared only with the queries that share its filter values.
-    """
-    if since:
-        corpus = corpus.filter(F.col("conversation_date") >= F.lit(since))
-    copies, spread = _salted(queries, corpus, key)
-    pairs = copies.join(spread, [*filters, "_salt"]).filter(F.col(key) != F.col("query_id"))
-    scored = pairs.withColumn("score", F.round(cosine(F.col("query_embedding"), F.col("embedding")), 6))
-    return _best(scored.select("query_id", "_salt", key, "score"), k, key)
-
-
-def term_index(
-    texts: DataFrame, ident: str, text: str, filters: Sequence[str] = ("user_id", "routed_to_domain")
-) -> DataFrame:
-    """Word counts per text, with its filter values.  Write it as a table to search it many times."""
-    words = F.filter(F.split(F.lower(F.col(text)), "[^a-z0-9]+"), lambda w: w != "")
-    long = texts.select(ident, *filters, F.explode(words).alias("term"))
-    return long.groupBy(ident, *filters, "term").agg(F.count("*").alias("tf"))
-
-
-def similar_by_text(
-    queries: DataFrame, index: DataFrame, n_docs: int | None = None, k: int = 3,
-    filters: Sequence[str] = ("user_id", "routed_to_domain"), key: str = "conversation_id",
-) -> DataFrame:
-    """Exact top ``k`` by cosine of TF-IDF vectors; only conversations that share a word can score.
-
-    Queries and corpus meet on filter values and word, so the work is the number of shared words,
-    never every pair of texts.  ``n_docs`` is counted from the index unless it is given.
-    """
-    if n_docs is None:
-        total = index.agg(F.count_distinct(key).alias("_docs"))
-        found_in = index.groupBy("term").agg(F.count("*").alias("_in")).crossJoin(F.broadcast(total))  # one row
-        idf = found_in.select("term", (F.log((F.col("_docs") + 1) / (F.col("_in") + 1)) + 1).alias("idf"))
-    else:
-        seen = F.log(F.lit(n_docs + 1) / (F.count("*") + 1)) + 1
-        idf = index.groupBy("term").agg(seen.alias("idf"))
-    asked = term_index(queries, "query_id", "query_text", filters)
-
-    def weigh(t: DataFrame, how: str) -> DataFrame:
-        return t.join(idf, "term", how).withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(0.0)))
-
-    def norm(t: DataFrame, ident: str, name: str) -> DataFrame:
-        return t.groupBy(ident).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
-
-    doc_w, query_w = weigh(index, "inner"), weigh(asked, "left")
-    copies, spread = _salted(
-        query_w.select("query_id", *filters, "term", F.col("w").alias("qw")),
-        doc_w.select(key, *filters, "term", F.col("w").alias("dw")),
-        key,
-    )
-    shared = copies.join(spread, [*filters, "term", "_salt"]).filter(F.col(key) != F.col("query_id"))
-    dots = shared.groupBy("query_id", key, "_salt").agg(F.sum(F.col("qw") * F.col("dw")).alias("dot"))
-    scored = dots.join(norm(doc_w, key, "doc_norm"), key).join(norm(query_w, "query_id", "query_norm"), "query_id")
-    score = F.round(F.col("dot") / F.nullif(F.col("doc_norm") * F.col("query_norm"), F.lit(0.0)), 6)
-    return _best(scored.withColumn("score", score).select("query_id", "_salt", key, "score"), k, key)
-
-
 def latest_queries(history: DataFrame) -> DataFrame:
     """The newest message of every user and domain, as a search query."""
     newest = latest_k(history, ["user_id", "routed_to_domain"], "message_timestamp", 1, "conversation_id")
@@ -169,21 +83,20 @@ def keyword_fallback(queries: DataFrame, history: DataFrame, k: int = 3) -> Data
     )
 
 
-def past_index(history: DataFrame, as_of: dt.date, days: int = SEARCH_DAYS) -> DataFrame:
-    """Term index of the talks of the last days.  Write it as a table to search it many times."""
+def past_index(history: DataFrame, as_of: dt.date, days: int = SEARCH_DAYS) -> TextIndex:
+    """Stored text index of the talks of the last days, to be searched many times."""
     recent = searchable(history).filter(F.col("conversation_date") >= F.lit(as_of - dt.timedelta(days=days)))
-    return term_index(recent, "conversation_id", "combined_text")
+    return text_index(recent, "conversation_id", "combined_text")
 
 
-def past_talks(requests: DataFrame, history: DataFrame, index: DataFrame, k: int = 3) -> DataFrame:
+def past_talks(requests: DataFrame, history: DataFrame, index: TextIndex, k: int = 3) -> DataFrame:
     """Up to ``k`` past conversations per request: the most similar ones of the index, and for requests
     that are similar to none, what the keyword search finds in the whole history."""
     picked = ["query_id", "conversation_id", "rank"]
-    similar = similar_by_text(requests, index, k=k).select(*picked, F.lit(0).alias("_source"))
-    by_word = keyword_fallback(requests, history, k).select(*picked, F.lit(1).alias("_source"))
-    # at most 2k rows per request; one pass over either search
-    first = F.min("_source").over(Window.partitionBy("query_id"))
-    return similar.unionByName(by_word).withColumn("_first", first).filter("_source = _first").select(*picked)
+    # at most k short rows per request; written, as both results read them
+    similar = materialize(similar_by_text(requests, index, k).select(*picked), work_path(requests.sparkSession, "similar_talks"))
+    rest = requests.join(similar.select("query_id").distinct(), "query_id", "left_anti")
+    return similar.unionByName(keyword_fallback(rest, history, k).select(*picked))
 
 
 # --- context texts ------------------------------------------------------------------------------
@@ -257,12 +170,12 @@ HEADINGS = {
 def build_context(
     requests: DataFrame, history: DataFrame, users: DataFrame, profiles: DataFrame, metrics: DataFrame,
     summaries: DataFrame, as_of: dt.date,
-    tracked: Mapping[str, Sequence[str]] = vocab.TRACKED_METRICS, index: DataFrame | None = None,
+    tracked: Mapping[str, Sequence[str]] = vocab.TRACKED_METRICS, index: TextIndex | None = None,
 ) -> DataFrame:
     """All context sections for every request, one row per request.
 
     A request has ``query_id``, ``user_id``, ``session_id``, ``routed_to_domain`` and ``query_text``.
-    ``index`` is the stored term index of the talks to search; by default it is made here.  Every side
+    ``index`` is the stored text index of the talks to search; by default it is made here.  Every side
     is reduced to one row per join key first, so no join multiplies rows.
     """
     profile = patient_context(user_profile(users, profiles), as_of).select("user_id", "patient_context")
