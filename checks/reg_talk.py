@@ -592,16 +592,59 @@ _KNOWN = (
 )
 
 
+_PROMPT = (
+    "prompts",
+    f"SELECT conversation_id, {lit(ctx.ROUTER_TEMPLATE)} || user_message || if(coalesce(k, '') = '', '', chr(10) || 'Medical history: ' || k) AS router_prompt "
+    "FROM conversation_history LEFT JOIN known USING (user_id)",
+)
+
+
+def router_stand_in(prompts):
+    """A model that answers by a few words of the prompt, sometimes fenced, sometimes not in JSON."""
+    import pandas as pd
+
+    def answer(prompt):
+        message = (prompt or "")[len(ctx.ROUTER_TEMPLATE) :]
+        if "pharmacy" in message or "foods" in message:
+            return "I cannot say." if "foods" in message else '{"domain": "OTHER", "urgency": "ROUTINE", "confidence": 0.4, "scope_violation": true}'
+        if "anxiety" in message or "stress" in message:
+            return '```json\n{"domain": "MENTAL_HEALTH", "urgency": "ROUTINE", "confidence": 0.75}\n```'
+        if "BP" in message or "PAIN" in message:
+            return '{"domain": "HEART_DISEASE", "urgency": "URGENT", "confidence": 0.9, "scope_violation": false}'
+        if "vision" in message:
+            return '{"domain": "EYES", "urgency": "URGENT", "confidence": 0.5}'
+        if "A1C" in message:
+            return '{"urgency": "URGENT"}'
+        return '```\n{"domain": "DIABETES", "urgency": "NEEDS_ATTENTION", "confidence": 0.8}\n```'
+
+    return pd.Series([answer(p) for p in prompts])
+
+
+def _answers(*values):
+    """The router's answer by message, written as SQL; one value per rule above."""
+    tests = ("m LIKE '%foods%'", "m LIKE '%pharmacy%'", "m LIKE '%anxiety%' OR m LIKE '%stress%'", "m LIKE '%BP%' OR m LIKE '%PAIN%'", "m LIKE '%vision%'", "m LIKE '%A1C%'")
+    return "CASE " + " ".join(f"WHEN {t} THEN {v}" for t, v in zip(tests, values)) + f" ELSE {values[-1]} END"
+
+
+_DM, _HTN, _MH = (lit(vocab.DOMAIN_MODELS[ctx.SPECIALIST_OF[d]]) for d in ("DIABETES", "HEART_DISEASE", "MENTAL_HEALTH"))
+
+
 @register(
     "u01_classify_user_query",
-    over("conversation_history user_medical_profiles", f"SELECT conversation_id, routed_domain, {_MODEL} AS specialist_model, "
-         f"{lit(ctx.ROUTER_TEMPLATE)} || user_message || if(coalesce(k, '') = '', '', chr(10) || 'Medical history: ' || k) AS router_prompt "
-         "FROM routed LEFT JOIN known USING (user_id)", _ROUTED, _KNOWN),
-)
-def _(spark, sf):
-    routed = cv.route_domain(talk(spark, sf), "user_message")
-    return ctx.router_prompts(routed, "user_message", load(spark, sf, "user_medical_profiles")).select(
-        "conversation_id", "routed_domain", "specialist_model", "router_prompt"
+    over("conversation_history user_medical_profiles",
+         f"SELECT conversation_id, router_prompt, {_answers(*map(lit, ('DIABETES', 'OTHER', 'MENTAL_HEALTH', 'HEART_DISEASE', 'EYES', 'DIABETES', 'DIABETES')))} AS domain, "
+         f"{_answers(*map(lit, ('ROUTINE', 'ROUTINE', 'ROUTINE', 'URGENT', 'URGENT', 'ROUTINE', 'NEEDS_ATTENTION')))} AS urgency, "
+         f"{_answers('0.5', '0.4', '0.75', '0.9', '0.5', '0.5', '0.8')}::double AS confidence, "
+         f"{_answers(_DM, 'NULL', _MH, _HTN, lit(ctx.GENERAL_MODEL), _DM, _DM)} AS specialist_model, "
+         f"{_answers(*map(lit, ('error', 'success', 'success', 'success', 'success', 'error', 'success')))} AS classification_status "
+         f"FROM (SELECT *, substr(router_prompt, {len(ctx.ROUTER_TEMPLATE) + 1}) AS m FROM prompts)", _KNOWN, _PROMPT),
+)
+def _(spark, sf):
+    history, profiles = talk(spark, sf).select("conversation_id", "user_id", "user_message"), load(spark, sf, "user_medical_profiles")
+    found = ctx.classify_messages(history, "user_message", profiles, router_stand_in)
+    prompts = ctx.router_prompts(history, "user_message", profiles).select("conversation_id", "router_prompt")
+    return found.join(prompts, "conversation_id").select(
+        "conversation_id", "router_prompt", "domain", "urgency", "confidence", "specialist_model", "classification_status"
     )
 
 
@@ -609,15 +652,30 @@ _ROLE = pick(*[(v, f"routed_to_domain = '{k}'") for k, v in ctx.SPECIALIST_ROLES
 _SECTIONS = " || ".join(f"{lit(chr(10) * 2 + '## ' + t + chr(10))} || {c}" for t, c in ctx.SECTIONS.items())
 
 
+_REPLIES = ("Risk assessment: 2/5 - Key messages: rest well.", "TRIAGE:\nRecommended foods: beans \n\n\n\nSleep.", "All is well.")
+
+
+def specialist_stand_in(prompts):
+    """A model whose reply depends on the length of the prompt."""
+    import pandas as pd
+
+    return pd.Series([_REPLIES[len(p) % 3] for p in prompts])
+
+
+_ASKED_PROMPT = f"{_ROLE} || {_SECTIONS} || {lit(chr(10) * 2 + '## QUESTION' + chr(10))} || query_text"
+
+
 @register(
     "u02_specialist_prompt",
-    over(_CONTEXT_INPUTS, f"SELECT query_id, {_ROLE} || {_SECTIONS} || {lit(chr(10) * 2 + '## QUESTION' + chr(10))} || query_text AS specialist_prompt "
-         "FROM context", _NEWEST, _corpus(30), *_CONTEXT),
+    over(_CONTEXT_INPUTS, f"SELECT query_id, specialist_prompt, regexp_replace(if(coalesce(contains(lower(metrics_context), 'improved'), false), "
+         f"{lit(vocab.PROGRESS_PREFIX)}, '') || regexp_replace({_LINES}, '\\n\\n\\n+', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g') AS cleaned_response "
+         f"FROM (SELECT *, {_list(_REPLIES)}[length(specialist_prompt) % 3 + 1] AS reply FROM (SELECT *, {_ASKED_PROMPT} AS specialist_prompt FROM context))",
+         _NEWEST, _corpus(30), *_CONTEXT),
 )
 def _(spark, sf):
     asked, bundle = context(spark, sf)
     joined = bundle.join(asked.select("query_id", "query_text"), "query_id")
-    return ctx.specialist_prompts(joined, "query_text", "routed_to_domain").select("query_id", "specialist_prompt")
+    return ctx.specialist_replies(joined, "query_text", "routed_to_domain", specialist_stand_in).select("query_id", "specialist_prompt", "cleaned_response")
 
 
 _SAVED = (

@@ -129,3 +129,25 @@ def test_pairing_is_reversible(spark):
     pairs = cv.pair_turns(df)
     assert [tuple(r) for r in pairs.collect()] == [(1, 0, "q", "a")]
     assert sorted(map(tuple, cv.unpair_turns(pairs).collect())) == [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
+
+
+def test_unreadable_router_replies_take_the_fallback(spark):
+    import pandas as pd
+
+    from vitalframe.operators import context as ctx
+
+    replies = {
+        "a": '```json\n{"domain": "MENTAL_HEALTH", "urgency": "URGENT", "confidence": 0.9}\n```', "b": "no idea", "c": None, "d": "", "e": '{"urgency": "URGENT"}',
+        "f": '{"domain": "OTHER", "scope_violation": true}', "g": '{"domain": "SKIN", "confidence": "high"}', "h": '[1, 2]',
+    }
+
+    def scorer(prompts):
+        return pd.Series([replies[p.split("Message: ")[1][0]] for p in prompts], dtype=object)
+
+    messages = spark.createDataFrame([(k, "u", k) for k in replies], "conversation_id string, user_id string, user_message string")
+    profiles = spark.createDataFrame([], "user_id string, has_diabetes boolean, has_hypertension boolean, has_heart_disease boolean, has_mental_health_history boolean")
+    rows = {r.conversation_id: r for r in ctx.classify_messages(messages, "user_message", profiles, scorer).collect()}
+    assert {k for k, r in rows.items() if r.classification_status == "error"} == {"b", "c", "d", "e", "h"}
+    assert all((rows[k].domain, rows[k].urgency, rows[k].confidence) == ("DIABETES", "ROUTINE", 0.5) for k in "bcdeh")
+    assert (rows["a"].domain, rows["a"].confidence, rows["a"].specialist_model) == ("MENTAL_HEALTH", 0.9, "mental_health_llm")
+    assert rows["f"].specialist_model is None and rows["g"].specialist_model == ctx.GENERAL_MODEL and rows["g"].confidence is None

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from vitalframe.functions.rules import lookup
 from vitalframe.functions.text import contains_any
 from vitalframe.operators.aggregates import latest_k
 from vitalframe.operators.conversation import (
+    clean_replies,
     message_window,
     metric_trends,
     patient_context,
@@ -21,6 +23,7 @@ from vitalframe.operators.conversation import (
     searchable,
     user_profile,
 )
+from vitalframe.operators.evaluation import parse_replies, score_batch
 from vitalframe.operators.ranking import top_k
 from vitalframe.operators.search import TextIndex, similar_by_text, text_index
 from vitalframe.sources.tables import materialize, work_path
@@ -258,6 +261,48 @@ def router_prompts(messages: DataFrame, text: str, profiles: DataFrame, template
     return joined.withColumn("router_prompt", F.concat(F.lit(template), F.col(text), history)).drop("_known")
 
 
+# What is read from a router reply, and the type it is read as.
+CLASSIFICATION_FIELDS = {"domain": "string", "urgency": "string", "confidence": "double", "scope_violation": "boolean"}
+# Domains of a router reply and the domain whose specialist answers; any other goes to the general model.
+SPECIALIST_OF = {
+    "DIABETES": "lifestyle_diseases_diabetes", "HEART_DISEASE": "lifestyle_diseases_hypertension", "MENTAL_HEALTH": "mental_health",
+}
+GENERAL_MODEL = vocab.DOMAIN_MODELS["general_health"]
+
+
+def classify_messages(
+    messages: DataFrame, text: str, profiles: DataFrame, scorer: Callable[[pd.Series], pd.Series],
+    template: str = ROUTER_TEMPLATE, models: Mapping[str, str] = vocab.DOMAIN_MODELS, general: str = GENERAL_MODEL,
+) -> DataFrame:
+    """Domain, urgency, confidence and specialist of every message, as a scorer of router prompts says.
+
+    Prompts are scored in batches and the replies written, so that no prompt is scored twice. Replies
+    that are JSON with a domain are read; only the others go through the fallback. Messages out of scope
+    have no specialist. NULL and empty replies count as unreadable.
+    """
+    scored = score_batch(router_prompts(messages, text, profiles, template), "router_prompt", scorer, "router_reply")
+    scored = materialize(scored, work_path(messages.sparkSession, "router_replies"))
+    parsed = parse_replies(scored, "router_reply", CLASSIFICATION_FIELDS, None)
+    readable = F.coalesce(F.col("is_valid_json") & F.col("domain").isNotNull(), F.lit(False))
+    columns = [*messages.columns, "router_reply"]
+    specialists = {d: models[name] for d, name in SPECIALIST_OF.items()}
+    model = F.when(~F.coalesce("scope_violation", F.lit(False)), F.coalesce(lookup("domain", specialists), F.lit(general)))
+    read = parsed.where(readable).select(
+        *columns, "domain", "urgency", "confidence", model.alias("specialist_model"), F.lit("success").alias("classification_status")
+    )
+    failed = parsed.where(~readable).select(*columns, fallback_classification().alias("c")).select(*columns, "c.*")
+    failed = failed.withColumn("specialist_model", lookup("domain", specialists)).withColumn("classification_status", F.lit("error"))
+    return read.unionByName(failed)
+
+
+def specialist_replies(
+    context: DataFrame, question: str, domain: str, scorer: Callable[[pd.Series], pd.Series], roles: Mapping[str, str] = SPECIALIST_ROLES
+) -> DataFrame:
+    """Specialist prompt, the scorer's reply and the reply as it is shown: without labels, with praise for progress."""
+    scored = score_batch(specialist_prompts(context, question, domain, roles), "specialist_prompt", scorer, "specialist_reply")
+    return clean_replies(scored, "specialist_reply", "metrics_context")
+
+
 def fallback_classification(default_domain: str = "DIABETES") -> Column:
     """What a router reply that cannot be read is replaced with."""
     return F.struct(
