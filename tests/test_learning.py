@@ -93,3 +93,18 @@ def test_training_and_reload(spark, tmp_path, family):
     if family is ml.train_rf:
         report = ml.importance_report(spark, model.bestModel, ["a", "flag", "g_code"]).collect()
         assert report[0].feature == "a" and report[0].note == "dominates"
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_dictionary_with_as_many_values_as_rows(spark, monkeypatch, broadcast_rows):
+    """Unique ids, one value in a third of all rows, NULLs and shared beginnings, with and without a broadcast."""
+    monkeypatch.setattr(ml, "DICTIONARY_ROWS", broadcast_rows)
+    monkeypatch.setattr(ml, "HOT_VALUES", 16)
+    rows = [(f"https://host/{(i * 7919) % 3000:05d}", "hot" if i % 3 == 0 else None if i % 10 == 1 else f"v{i % 50}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a string, b string, i int").repartition(5)
+    got = {r.i: (r.a, r.b) for r in ml.encode(df, ["a", "b"]).collect()}
+    places = [{v: n for n, v in enumerate(sorted({r[c] for r in rows} - {None}))} for c in (0, 1)]
+    assert got == {i: (places[0][a], places[1].get(b, len(places[1]))) for a, b, i in rows}
+    assert ml.encode(df, ["a", "b"]).columns == ["a", "b", "i"]
+    assert [tuple(r) for r in ml.encode(spark.createDataFrame([(None, 1)], "a string, i int"), ["a"]).collect()] == [(0, 1)]
+    assert ml.encode(df.limit(0), ["a"]).count() == 0 and ml.encode(df, []) is df

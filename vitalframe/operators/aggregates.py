@@ -21,11 +21,11 @@ def value_counts(df: DataFrame, keys: Sequence[str], name: str = "count") -> Dat
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Group counts and their share of all rows; the window runs over the groups only."""
+    """Group counts and their share of all rows; the total is an aggregate of its own, so any number of groups does."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("count"))
-    return counts.withColumn("percentage", share(F.col("count"), F.sum("count").over(W.partitionBy()))).orderBy(
-        F.desc("count"), *keys
-    )
+    whole = df.agg(F.count("*").alias("_all"))
+    joined = counts.crossJoin(F.broadcast(whole))  # one row
+    return joined.withColumn("percentage", share(F.col("count"), F.col("_all"))).drop("_all").orderBy(F.desc("count"), *keys)
 
 
 def share_within(df: DataFrame, parent: str, child: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from vitalframe.functions.rules import first_match
 from vitalframe.operators.aggregates import share
 from vitalframe.operators.sampling import class_weights
+from vitalframe.sources.tables import materialize, work_path
 
 # Columns of each feature policy. Names are matched without regard to case.
 NEVER_FEATURES = [
@@ -126,14 +127,53 @@ def impute(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFr
     return df.withColumns(filled) if filled else df
 
 
+# A dictionary of at most so many values is broadcast; above that, the values that hold more than
+# one row in HOT_VALUES are, and all others meet their rows in a shuffle.
+DICTIONARY_ROWS = 100_000
+HOT_VALUES = 1_024
+
+
+def dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column, value, n and code (place among the sorted distinct values, from 0) of all text columns, as a stored table.
+
+    Distinct values go to ranges of (column, value); range counts and their running sums give each range
+    its first code, so no task holds all values of a column.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("e"))
+    values = long.select("e.*").where("value IS NOT NULL").groupBy("column", "value").agg(F.count("*").alias("n"))
+    ranges = values.repartitionByRange(parts, "column", "value").withColumn("range", F.spark_partition_id())
+    ranges = materialize(ranges, work_path(spark, "dictionary_ranges"))
+    before = W.partitionBy("column").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = ranges.groupBy("column", "range").agg(F.count("*").alias("held"))
+    offsets = offsets.select("column", "range", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(W.partitionBy("column", "range").orderBy("value"))
+    coded = ranges.withColumn("inside", inside).join(offsets, ["column", "range"])
+    coded = coded.select("column", "value", "n", (F.col("before") + F.col("inside") - 1).cast("int").alias("code"))
+    return materialize(coded, work_path(spark, "dictionary"))
+
+
 def encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace text by its place among the sorted distinct values."""
-    indexer = StringIndexer(
-        inputCols=list(columns), outputCols=[f"_{c}" for c in columns], stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    coded = indexer.fit(df).transform(df)
-    return coded.withColumns({c: F.col(f"_{c}").cast("int") for c in columns}).drop(*[f"_{c}" for c in columns])
+    """Replace text by its place among the sorted distinct values; NULL comes after the last one."""
+    if not columns:
+        return df
+    known = dictionary(df, columns)
+    sizes = {r["column"]: (r["values"], r["rows"]) for r in known.groupBy("column").agg(F.count("*").alias("values"), F.sum("n").alias("rows")).collect()}
+    for c in columns:
+        n_values, n_rows = sizes.get(c, (0, 0))
+        of_column = known.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"), "n")
+        rows = df.withColumn("_value", F.col(c).cast("string"))
+        if n_values <= DICTIONARY_ROWS:
+            found = rows.join(F.broadcast(of_column.drop("n")), "_value", "left")
+        else:
+            hot = F.broadcast(of_column.where(F.col("n") * HOT_VALUES > n_rows).drop("n"))  # at most HOT_VALUES rows
+            cold = of_column.where(F.col("n") * HOT_VALUES <= n_rows).drop("n")
+            rest = rows.where("_value IS NOT NULL").join(hot.select("_value"), "_value", "left_anti").join(cold, "_value")
+            none = rows.where("_value IS NULL").withColumn("_code", F.lit(None).cast("int"))
+            found = rows.join(hot, "_value").unionByName(rest).unionByName(none)
+        df = found.withColumn(c, F.coalesce("_code", F.lit(n_values)).cast("int")).select(*df.columns)
+    return df
 
 
 def standardize(df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | None = None) -> DataFrame:
