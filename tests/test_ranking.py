@@ -61,6 +61,16 @@ def test_time_ids_rise_with_time_and_put_null_last(spark):
     assert known == sorted(known) and times[len(known):] == [None] * 50
 
 
+def test_ids_by_time_with_half_of_all_times_missing(spark):
+    df = spark.range(4000).select(
+        F.col("id").cast("string").alias("k"), F.when(F.col("id") % 2 == 0, F.timestamp_seconds(F.col("id") % 6)).alias("ts")
+    ).repartition(6)
+    rows = sorted(ranking.surrogate_id_by_time(df, "M_", "ts", ["k"]).withColumn("h", ranking.row_hash(["k"])).collect(), key=lambda r: int(r.patient_id[2:]))
+    assert [int(r.patient_id[2:]) for r in rows] == list(range(1, 4001))
+    order = [(r.ts is None, r.ts or dt.datetime.min, r.h) for r in rows]
+    assert order == sorted(order) and sum(r.ts is None for r in rows) == 2000
+
+
 def test_stratified_sample_hits_targets(skewed):
     targets = {r.label: r.target for r in sampling.class_targets(skewed, "label", 300).collect()}
     out = sampling.stratified_sample(skewed, "label", 300, "key", 5).collect()

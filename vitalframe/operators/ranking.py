@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 # Hash buckets: four hexadecimal digits, at most 65,536 buckets per group.
 HASH_PREFIX = 4
+# Digits that split the rows of one time; rows without a time may be a large part of a table.
+TIME_PREFIX = 2
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -98,15 +100,16 @@ def surrogate_id_by_time(
 ) -> DataFrame:
     """As ``surrogate_id``, but ids rise with ``ts`` (NULL last); equal times go by digest.
 
-    Days bound the table of running day totals; inside a day the buckets are the distinct times
-    split sixteen ways by digest, so neither one day nor one minute is sorted by one task alone.
+    Days bound the table of running day totals; inside a day the buckets are the distinct times split
+    256 ways by digest, and rows without a time split 65,536 ways, so neither a day nor a minute nor a
+    large share of missing times is sorted by one task alone.
     """
     last = F.to_timestamp(F.lit("9999-12-31 00:00:00"))
     keyed = (
         df.withColumn("_ts", F.coalesce(F.col(ts), last))
         .withColumn("_day", F.to_date("_ts"))
         .withColumn("_hash", row_hash(identity))
-        .withColumn("_split", F.substring("_hash", 1, 1))
+        .withColumn("_split", F.when(F.col(ts).isNull(), F.substring("_hash", 1, HASH_PREFIX)).otherwise(F.substring("_hash", 1, TIME_PREFIX)))
     )
     buckets = ["_day", "_ts", "_split"]
     in_day = _offsets(keyed, ["_day"], ["_ts", "_split"])
