@@ -14,6 +14,7 @@ from vitalframe.functions import vocab
 from vitalframe.operators import context as ctx
 from vitalframe.operators import conversation as cv
 from vitalframe.operators import search
+from vitalframe.operators import summaries as sm
 from vitalframe.sources import fixtures, tables
 from vitalframe.streaming import jobs
 
@@ -722,3 +723,70 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return cv.session_summaries(talk(spark, sf))
+
+
+# Words that the stand-in takes for concerns, in the order it lists them.
+_CONCERNS = ("CHEST PAIN", "anxiety", "cholesterol", "fever", "pharmacy", "vision loss")
+
+
+def summary_stand_in(prompts):
+    """A model that names the concerns and the highest pressure of a text, and partial summaries alike; else not in JSON."""
+    import json
+    import re
+
+    import pandas as pd
+
+    def answer(prompt):
+        text = prompt[len(sm.SUMMARY_HEAD) :]
+        concerns = [c for c in _CONCERNS if c in text]
+        pressures = [int(a or b) for a, b in re.findall(r'BP (?:is )?(\d+)/|"bp": (\d+)', text)]
+        if not concerns and not pressures:
+            return "Nothing of note."
+        reply = json.dumps({
+            "main_topic": concerns[0] if concerns else "pressure", "key_concerns": concerns, "recommendations": ["rest"] * len(pressures[:1]),
+            "metrics_mentioned": {"bp": max(pressures)} if pressures else {}, "summary_text": "Talk of " + ", ".join(concerns) + ".",
+        })
+        return f"```json\n{reply}\n```" if len(concerns) % 2 else reply
+
+    return pd.Series([answer(p) for p in prompts], dtype=object)
+
+
+_FOUND = (
+    "found",
+    "SELECT user_id, session_id, "
+    + ", ".join(f"bool_or(contains(user_message, {lit(c)})) AS c{i}" for i, c in enumerate(_CONCERNS))
+    + r""", max(list_max(list_transform(regexp_extract_all(user_message, 'BP (?:is )?(\d+)/', 1), lambda v: v::int))) AS bp
+ FROM conversation_history GROUP BY 1, 2""",
+)
+_SUMMED = (
+    "summed",
+    f"""SELECT md5(user_id || '|' || session_id || '|' || turns) AS summary_id, user_id, session_id, turns > 1 AND (len(concerns) > 0 OR bp IS NOT NULL) AS summary_created,
+ turns, domain, time_period_start, time_period_end, concerns, bp FROM (SELECT user_id, session_id, bp, list_filter([{", ".join(f"if(c{i}, {lit(c)}, NULL)" for i, c in enumerate(_CONCERNS))}],
+ lambda c: c IS NOT NULL) AS concerns FROM found) JOIN (SELECT user_id, session_id, (array_agg(routed_to_domain ORDER BY message_timestamp, conversation_id))[1] AS domain,
+ count(*) AS turns, min(message_timestamp) AS time_period_start, max(message_timestamp) AS time_period_end FROM conversation_history GROUP BY 1, 2) USING (user_id, session_id)""",
+)
+_OUTCOMES = (
+    "outcomes",
+    """SELECT summary_id, user_id, session_id, summary_created, if(summary_created, NULL, if(turns < 2, 'Not enough messages', 'Unreadable reply')) AS reason,
+ 'session_summary' AS summary_type, if(summary_created, coalesce(concerns[1], 'pressure'), NULL) AS main_topic,
+ if(summary_created, 'Talk of ' || array_to_string(concerns, ', ') || '.', NULL) AS summary_text,
+ if(summary_created AND len(concerns) > 0, array_to_string(concerns, '|'), NULL) AS key_topics,
+ if(summary_created, if(bp IS NULL, '', 'rest'), NULL) AS recommendations,
+ if(summary_created, if(bp IS NULL, '{}', '{"bp":' || bp || '}'), NULL) AS mentioned_metrics, domain, turns, time_period_start, time_period_end FROM summed""",
+)
+
+
+@register("u06_session_outcomes", over(HISTORY, "SELECT * FROM outcomes", _FOUND, _SUMMED, _OUTCOMES))
+def _(spark, sf):
+    return sm.summarize_sessions(talk(spark, sf), summary_stand_in)
+
+
+@register(
+    "u06_saved_summaries",
+    over(HISTORY, f"SELECT {', '.join(sm.SAVED_COLUMNS)}, time_period_start::date AS summary_date FROM outcomes WHERE summary_created", _FOUND, _SUMMED, _OUTCOMES),
+)
+def _(spark, sf):
+    path, rows = tables.work_path(spark, "saved_summaries"), sm.summarize_sessions(talk(spark, sf), summary_stand_in)
+    for _ in range(2):
+        sm.save_summaries(rows, path)
+    return spark.read.parquet(path).select(*sm.SAVED_COLUMNS, "summary_date")

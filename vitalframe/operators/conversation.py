@@ -228,23 +228,24 @@ def searchable(history: DataFrame) -> DataFrame:
     )
 
 
+def session_spans(history: DataFrame) -> DataFrame:
+    """Turns, first domain and span of each session."""
+    return history.groupBy("user_id", "session_id").agg(
+        F.count("*").alias("turns"),
+        F.min_by("routed_to_domain", F.struct("message_timestamp", "conversation_id")).alias("domain"),
+        F.min("message_timestamp").alias("time_period_start"),
+        F.max("message_timestamp").alias("time_period_end"),
+    )
+
+
 def session_transcripts(history: DataFrame, min_turns: int = 2) -> DataFrame:
     """Transcript of each session, one row per numbered turn, with the span and first domain of the session.
 
     Joined in the order of ``turn_no`` the texts are the whole transcript; a session of any length never
-    has to fit into one row.
+    has to fit into one row. A missing message is an empty one.
     """
     keys = ["user_id", "session_id"]
-    spans = (
-        history.groupBy(*keys)
-        .agg(
-            F.count("*").alias("turns"),
-            F.min_by("routed_to_domain", F.struct("message_timestamp", "conversation_id")).alias("domain"),
-            F.min("message_timestamp").alias("time_period_start"),
-            F.max("message_timestamp").alias("time_period_end"),
-        )
-        .filter(F.col("turns") >= min_turns)
-    )
+    spans = session_spans(history).filter(F.col("turns") >= min_turns)
     numbered = ranked(
         history.select(*keys, "message_timestamp", "conversation_id", "user_message", "assistant_response"),
         keys,
@@ -254,21 +255,15 @@ def session_transcripts(history: DataFrame, min_turns: int = 2) -> DataFrame:
     )
     text = F.concat(
         F.lit("\nTurn "), F.col("turn_no").cast("string"),
-        F.lit(":\nUser: "), F.col("user_message"),
-        F.lit("\nAssistant: "), F.col("assistant_response"), F.lit("\n"),
+        F.lit(":\nUser: "), F.coalesce("user_message", F.lit("")),
+        F.lit("\nAssistant: "), F.coalesce("assistant_response", F.lit("")), F.lit("\n"),
     )
     return numbered.select(*keys, "turn_no", text.alias("turn_text")).join(spans, keys)
 
 
 def session_summaries(history: DataFrame) -> DataFrame:
     """Summary rows of sessions with at least two turns; the text is built from counts, not by a model."""
-    spans = history.groupBy("user_id", "session_id").agg(
-        F.count("*").alias("turns"),
-        F.min_by("routed_to_domain", F.struct("message_timestamp", "conversation_id")).alias("domain"),
-        F.min("message_timestamp").alias("time_period_start"),
-        F.max("message_timestamp").alias("time_period_end"),
-    )
-    return spans.filter("turns >= 2").select(
+    return session_spans(history).filter("turns >= 2").select(
         F.md5(F.concat_ws("|", "user_id", "session_id")).alias("summary_id"),
         "user_id",
         F.lit("session_summary").alias("summary_type"),
