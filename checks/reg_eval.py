@@ -79,15 +79,16 @@ def _samples_sql(correct):
     name, op = ("CORRECT", "=") if correct else ("INCORRECT", "<>")
     return (
         f"SELECT '{name} PREDICTIONS' AS category, patient_id, ground_truth_urgency AS actual, predicted_urgency AS predicted, "
-        f"left(model_prediction_raw, 200) AS prediction_preview FROM scored WHERE ground_truth_urgency {op} predicted_urgency "
+        f"left(prompt, 200) AS prompt_preview, left(model_prediction_raw, 200) AS prediction_preview FROM scored "
+        f"JOIN (SELECT patient_id, prompt FROM model_responses) USING (patient_id) WHERE ground_truth_urgency {op} predicted_urgency "
         f"ORDER BY {_ORDER} LIMIT 5"
     )
 
 
-@register("e06_sample_predictions", _sql(f"(SELECT * FROM ({_samples_sql(True)})) UNION ALL (SELECT * FROM ({_samples_sql(False)}))"))
+@register("e06_sample_predictions", over("model_responses", f"(SELECT * FROM ({_samples_sql(True)})) UNION ALL (SELECT * FROM ({_samples_sql(False)}))", _PREDICTED))
 def _(spark, sf):
     args = (ACTUAL, PREDICTED, "model_prediction_raw", "patient_id")
-    df = scored(spark, sf)
+    df = scored(spark, sf).join(load(spark, sf, "model_responses").select("patient_id", "prompt"), "patient_id")
     return ev.sample_predictions(df, *args, True, 5, 5).unionAll(ev.sample_predictions(df, *args, False, 5, 5))
 
 
@@ -218,11 +219,12 @@ def _(spark, sf):
 
 @register(
     "e14_failure_cases",
-    over("model_replies", "SELECT patient_id, score, reasoning AS why_failed FROM scores WHERE model_name = 'model_b' AND score < 6 "
+    over("model_replies model_responses", "SELECT patient_id, expected_urgency, left(prompt, 150) AS prompt_preview, left(small_reply, 200) AS response_preview, "
+         "score, reasoning AS why_failed FROM scores JOIN model_responses USING (patient_id) WHERE model_name = 'model_b' AND score < 6 "
          "ORDER BY score, patient_id LIMIT 10", _SCORES),
 )
 def _(spark, sf):
-    return ev.failure_cases(scores(spark, sf), "model_b", 6, 10)
+    return ev.failure_cases(scores(spark, sf), load(spark, sf, "model_responses"), "model_b", "small_reply", 6, 10)
 
 
 @register(

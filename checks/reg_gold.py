@@ -166,7 +166,15 @@ def _sample_sql(domain, n, seed):
 
 @register("p02_stratified_sample", rows_sql("hypertension", "SELECT * FROM sample", *_sample_sql("hypertension", 16000, 7)))
 def _(spark, sf):
-    return sp.stratified_sample(rows(spark, sf, "hypertension")[0], "ground_truth_urgency", 16000, "patient_id", 7)
+    silver = tt.number_rows(gold(spark, sf, "hypertension", "silver"), "hypertension")
+    numbered = tables.materialize(silver, tables.work_path(spark, "numbered_silver"))
+
+    def train_rows(part):
+        train, _ = sp.hash_split(part, "patient_id")
+        texts = tt.PAIRS["hypertension"](tt.SELECT["hypertension"](refine(train, "hypertension", as_of=DAY)))
+        return tt.to_training_rows(texts, txt.TRAIN_SYSTEM["hypertension"])
+
+    return sp.sample_before(numbered, train_rows, "ground_truth_urgency", 16000, "patient_id", 7)
 
 
 @register("p03_random_n", rows_sql("hypertension", f"SELECT * FROM valid ORDER BY {seeded(7)}, patient_id LIMIT 3000"))

@@ -68,9 +68,18 @@ def safety_misses(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return row.unpivot([], row.columns, "safety_metric", "count_val")
 
 
+# Characters shown of prompts and replies in samples, and of prompts in failures.
+SAMPLE_PREVIEW, FAILURE_PREVIEW = 200, 150
+
+
+def preview(name: str, chars: int, shown: str) -> Column:
+    return F.left(F.col(name), F.lit(chars)).alias(shown)
+
+
 def sample_predictions(
-    df: DataFrame, actual: str, predicted: str, text: str, key: str, correct: bool, n: int, seed: int = 0
+    df: DataFrame, actual: str, predicted: str, text: str, key: str, correct: bool, n: int, seed: int = 0, prompt: str = "prompt"
 ) -> DataFrame:
+    """``n`` seeded random predictions that hit or missed, with the beginnings of prompt and prediction."""
     same = F.col(actual) == F.col(predicted)
     picked = random_n(df.filter(same if correct else ~same), n, key, seed)
     return picked.select(
@@ -78,7 +87,8 @@ def sample_predictions(
         key,
         F.col(actual).alias("actual"),
         F.col(predicted).alias("predicted"),
-        F.left(F.col(text), F.lit(200)).alias("prediction_preview"),
+        preview(prompt, SAMPLE_PREVIEW, "prompt_preview"),
+        preview(text, SAMPLE_PREVIEW, "prediction_preview"),
     )
 
 
@@ -201,10 +211,24 @@ def rank_models(scores: DataFrame) -> DataFrame:
     )
 
 
-def failure_cases(scores: DataFrame, model: str, below: int, n: int, key: str = "patient_id") -> DataFrame:
-    """Lowest-scored cases of one model."""
+def failure_cases(
+    scores: DataFrame, cases: DataFrame, model: str, response: str, below: int, n: int, key: str = "patient_id"
+) -> DataFrame:
+    """Lowest-scored cases of one model, with what was asked, expected and answered.
+
+    ``cases`` has one row per key with ``prompt``, ``expected_urgency`` and the ``response`` column. The
+    worst cases are found first, so that only their texts are fetched.
+    """
     poor = scores.filter((F.col("model_name") == model) & (F.col("score") < below))
-    return poor.orderBy("score", key).limit(n).select(key, "score", F.col("reasoning").alias("why_failed"))
+    worst = poor.orderBy("score", key).limit(n).select(key, "score", F.col("reasoning").alias("why_failed"))
+    return worst.join(cases, key, "left").select(
+        key,
+        "expected_urgency",
+        preview("prompt", FAILURE_PREVIEW, "prompt_preview"),
+        preview(response, SAMPLE_PREVIEW, "response_preview"),
+        "score",
+        "why_failed",
+    ).orderBy("score", key)
 
 
 # --- batch scoring ----------------------------------------------------------------------------

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vitalframe.operators.ranking import HASH_PREFIX, _offsets, hash_ranked, seeded_hash
+from vitalframe.sources.tables import materialize, work_path
 
 
 def hash_bucket(key: str, buckets: int = 10) -> Column:
@@ -34,12 +35,11 @@ def class_targets(df: DataFrame, label: str, n: int) -> DataFrame:
     return counts.withColumn("everything", everything).select(label, "original_count", target.alias("target"))
 
 
-def stratified_sample(df: DataFrame, label: str, n: int, key: str, seed: int = 0) -> DataFrame:
-    """Exactly the class targets, chosen by seeded hash order inside each class.
+def stratified_ids(df: DataFrame, label: str, n: int, key: str, seed: int = 0) -> DataFrame:
+    """Ids of exactly the class targets, chosen by seeded hash order inside each class.
 
-    Ranking touches only the key and the label: hash buckets are counted, buckets beyond a class's
-    target are dropped before any sort, and the chosen keys then pick their rows by a semi join.
-    ``df`` is read more than once, so hand in a written table when it is costly to compute.
+    Hash buckets are counted and buckets beyond a class's target are dropped before any sort. ``df``
+    is read twice; only its key and label are.
     """
     keyed = (
         df.filter(F.col(label).isNotNull())
@@ -57,13 +57,31 @@ def stratified_sample(df: DataFrame, label: str, n: int, key: str, seed: int = 0
         .select(label, "_bucket", "_room")
     )
     inside = F.row_number().over(W.partitionBy(label, "_bucket").orderBy("_hash", key))
-    chosen = (
+    return (
         keyed.join(wanted, [label, "_bucket"])
         .withColumn("_inside", inside)
         .filter(F.col("_inside") <= F.col("_room"))
         .select(key)
     )
-    return df.join(chosen, key, "left_semi")
+
+
+def stratified_sample(df: DataFrame, label: str, n: int, key: str, seed: int = 0) -> DataFrame:
+    """Rows of ``stratified_ids``. ``df`` is read more than once, so hand in a written table when it is costly."""
+    return df.join(stratified_ids(df, label, n, key, seed), key, "left_semi")
+
+
+def sample_before(
+    source: DataFrame, build: Callable[[DataFrame], DataFrame], label: str, n: int, key: str, seed: int = 0
+) -> DataFrame:
+    """The stratified sample of ``build(source)`` without building the rows that are not drawn.
+
+    ``build`` must work row by row and keep ``key``, which identifies a row of ``source``. Only what the
+    label needs is computed for all rows, and only ids and labels are written; the ids then cut
+    ``source`` down before anything else is built. ``source`` is read twice, so hand in a written table.
+    """
+    labels = build(source).select(key, label)
+    labels = materialize(labels, work_path(source.sparkSession, "labels"))
+    return build(source.join(stratified_ids(labels, label, n, key, seed), key, "left_semi"))
 
 
 def random_n(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
