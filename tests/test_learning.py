@@ -108,3 +108,29 @@ def test_dictionary_with_as_many_values_as_rows(spark, monkeypatch, broadcast_ro
     assert ml.encode(df, ["a", "b"]).columns == ["a", "b", "i"]
     assert [tuple(r) for r in ml.encode(spark.createDataFrame([(None, 1)], "a string, i int"), ["a"]).collect()] == [(0, 1)]
     assert ml.encode(df.limit(0), ["a"]).count() == 0 and ml.encode(df, []) is df
+
+
+def test_fitting_rows_keep_shares_and_folds(spark):
+    df = spark.range(6000).select("id", F.when(F.col("id") % 10 == 0, 1.0).otherwise(0.0).alias("label"))
+    some = {r.id: (r.label, r.fold) for r in ml.fitting_rows(df, "label", "id", 1000).collect()}
+    again = {r.id: (r.label, r.fold) for r in ml.fitting_rows(df.repartition(7), "label", "id", 1000).collect()}
+    assert some == again and sum(v[0] for v in some.values()) == 100 and len(some) == 1000
+    assert {f for _, f in some.values()} == set(range(5))
+    assert ml.fitting_rows(df, "label", "id", 6000).count() == 6000
+
+
+def test_folds_of_the_table_are_used(spark):
+    rows = [(float(i % 2), i % 4 // 2, [float(i % 2), 1.0]) for i in range(80)]
+    from pyspark.ml.functions import array_to_vector
+
+    df = spark.createDataFrame(rows, "label double, fold int, f array<double>").withColumn("features", array_to_vector("f"))
+    model = ml.train_rf(ml.with_weights(df), {"numTrees": [3], "maxDepth": [2]}, folds=2)
+    assert model.getFoldCol() == "fold" and model.avgMetrics == [1.0]
+
+
+def test_published_grids():
+    def points(grid):
+        return __import__("math").prod(len(v) for v in grid.values())
+
+    assert (points(ml.RF_GRID), points(ml.GBT_GRID), ml.FOLDS) == (8, 16, 5)
+    assert ml.margin_grid(1000) == {"regParam": [0.01, 0.001, 0.0001]}

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from vitalframe.functions.rules import first_match
 from vitalframe.operators.aggregates import share
-from vitalframe.operators.sampling import class_weights
+from vitalframe.operators.sampling import class_weights, stratified_sample
 from vitalframe.sources.tables import materialize, work_path
 
 # Columns of each feature policy. Names are matched without regard to case.
@@ -222,10 +222,32 @@ def with_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 # --- training -----------------------------------------------------------------------------------
-# Search grids, small enough to run in a test; pass wider ones for a real search.
-RF_GRID = {"numTrees": [20], "maxDepth": [5, 8]}
-GBT_GRID = {"maxIter": [5], "maxDepth": [3]}
-SVM_GRID = {"regParam": [0.01, 0.1], "maxIter": [10]}
+# Search grids, costs of the margin classifier and number of folds. Settings without a
+# counterpart in Spark ML (L1 and L2 weights of trees, column samples, kernels) are left out.
+RF_GRID = {
+    "numTrees": [100, 200], "maxDepth": [10, 15], "minInstancesPerNode": [2, 4],
+    "subsamplingRate": [0.8], "featureSubsetStrategy": ["sqrt"],
+}
+GBT_GRID = {
+    "maxDepth": [3, 5], "stepSize": [0.01, 0.1], "maxIter": [100, 200], "minInstancesPerNode": [3, 5],
+    "subsamplingRate": [0.8],
+}
+MARGIN_COSTS = [0.1, 1.0, 10.0]
+FOLDS = 5
+
+# Labelled rows that a search fits on; the bound of its cost, whatever the size of the table.
+FIT_ROWS = 20_000
+
+
+def fitting_rows(train: DataFrame, label: str, key: str, rows: int = FIT_ROWS, folds: int = FOLDS, seed: int = 42) -> DataFrame:
+    """At most about ``rows`` training rows, class shares kept, with a ``fold`` by digest of the key.
+
+    A table of no more rows is taken whole. Model families that search on the same table share the
+    folds, and a row that is computed again is in the same fold.
+    """
+    if train.count() > rows:
+        train = stratified_sample(train, label, rows, key, seed)
+    return train.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int"))
 
 
 def _search(estimator, tuned, train: DataFrame, grid: Mapping[str, list], folds: int, parallel: int) -> CrossValidatorModel:
@@ -235,28 +257,33 @@ def _search(estimator, tuned, train: DataFrame, grid: Mapping[str, list], folds:
     scorer = MulticlassClassificationEvaluator(metricName="f1")  # class weights belong in the fit only
     search = CrossValidator(
         estimator=estimator, estimatorParamMaps=builder.build(), evaluator=scorer, numFolds=folds, seed=42,
-        parallelism=parallel,
+        parallelism=parallel, foldCol="fold" if "fold" in train.columns else "",
     )
     return search.fit(train)
 
 
-def train_rf(train: DataFrame, grid: Mapping[str, list] = RF_GRID, folds: int = 3, parallel: int = 4):
+def train_rf(train: DataFrame, grid: Mapping[str, list] = RF_GRID, folds: int = FOLDS, parallel: int = 4):
     forest = RandomForestClassifier(weightCol="class_weight", seed=42)
     return _search(forest, forest, train, grid, folds, parallel)
 
 
-def train_gbt(train: DataFrame, grid: Mapping[str, list] = GBT_GRID, folds: int = 3, parallel: int = 4):
+def train_gbt(train: DataFrame, grid: Mapping[str, list] = GBT_GRID, folds: int = FOLDS, parallel: int = 4):
     """Boosted trees are binary in Spark, so one model per class."""
     trees = GBTClassifier(seed=42)
     many = OneVsRest(classifier=trees, weightCol="class_weight")
     return _search(many, trees, train, grid, folds, parallel)
 
 
-def train_svm(train: DataFrame, grid: Mapping[str, list] = SVM_GRID, folds: int = 3, parallel: int = 4):
-    """Linear margin classifier, one model per class."""
+def margin_grid(rows: int, costs: Sequence[float] = MARGIN_COSTS) -> dict[str, list]:
+    """Costs of summed errors as weights of the penalty against the mean error, which Spark minimises."""
+    return {"regParam": [1 / (c * max(rows, 1)) for c in costs]}
+
+
+def train_svm(train: DataFrame, grid: Mapping[str, list] | None = None, folds: int = FOLDS, parallel: int = 4):
+    """Linear margin classifier, one model per class; without a grid the fixed costs are searched."""
     margin = LinearSVC(standardization=True)
     many = OneVsRest(classifier=margin, weightCol="class_weight")
-    return _search(many, margin, train, grid, folds, parallel)
+    return _search(many, margin, train, grid or margin_grid(train.count()), folds, parallel)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
