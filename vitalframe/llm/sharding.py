@@ -25,29 +25,46 @@ from vitalframe.llm.common import written
 SHARDS = 24
 BITS = 4
 ACCURACY = 1000
-# bytes of a text value that take part in its order
-TEXT_BYTES = 6
 
 
-def ordered_number(col: Column, kind: str) -> Column:
-    """A number that sorts like the value; texts by their first bytes."""
-    if kind != "string":
-        return F.coalesce(col.cast("double"), F.lit(float("-inf")))
-    head = F.rpad(F.substring(F.hex(F.coalesce(col, F.lit("")).cast("binary")), 1, 2 * TEXT_BYTES), 2 * TEXT_BYTES, "0")
-    return F.conv(head, 16, 10).cast("double")
+def sortable(col: Column, kind: str) -> Column:
+    """The value as texts or numbers are compared; null is the smallest."""
+    return F.coalesce(col, F.lit("")) if kind == "string" else F.coalesce(col.cast("double"), F.lit(float("-inf")))
+
+
+def text_cuts(df: DataFrame, dim: str, cells: int) -> list[str]:
+    """Whole values of a text dimension that end its equal shares of the rows; exact, at most ``cells`` - 1.
+
+    Distinct values are counted and dealt into ranges; ranges, one row each, give the offsets, and
+    running counts stay inside a range. A value that many rows share is one row.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(sortable(F.col(dim), "string").alias("value")).agg(F.count("*").alias("rows"))
+    # what is numbered must not be planned again, or the numbers might change
+    ranges = written(counts.repartitionByRange(parts, "value").withColumn("part", F.spark_partition_id()), "values")
+    everywhere, earlier = Window.partitionBy(), Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranges.groupBy("part").agg(F.sum("rows").alias("_size"))
+    offsets = sizes.select("part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("before"), F.sum("_size").over(everywhere).alias("total"))
+    running = F.sum("rows").over(Window.partitionBy("part").orderBy("value"))
+    placed = ranges.withColumn("running", running).join(offsets, "part").withColumn("upto", F.col("before") + F.col("running"))
+    ends = [F.min(F.when(F.col("upto") * cells >= F.col("total") * k, F.col("value"))).alias(str(k)) for k in range(1, cells)]
+    return [cut for cut in placed.agg(*ends).first() if cut is not None]
 
 
 def quantised(df: DataFrame, dims: Sequence[str], bits: int = BITS) -> Column:
-    """Array of cells per row: how many of the dimension's quantile cuts lie below the value."""
-    kinds = dict(df.dtypes)
-    numbers = [ordered_number(F.col(d), kinds[d]) for d in dims]
-    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    row = df.agg(*(F.percentile_approx(n, shares, ACCURACY).alias(str(k)) for k, n in enumerate(numbers))).first()
-    cells = []
-    for n, cuts in zip(numbers, row):
-        # a value that many rows share gives equal cuts, which count once
-        cells.append(sum((F.when(n > F.lit(cut), 1).otherwise(0) for cut in sorted(set(cuts or []))), F.lit(0)))
-    return F.array(*cells)
+    """Array of cells per row: how many of the dimension's quantile cuts lie below the value.
+
+    Texts are compared as wholes, so values with a long common beginning get cells of their own.
+    """
+    kinds, cells = dict(df.dtypes), 1 << bits
+    values = {d: sortable(F.col(d), kinds[d]) for d in dims}
+    numeric = [d for d in values if kinds[d] != "string"]
+    shares = [k / cells for k in range(1, cells)]
+    cuts = {d: text_cuts(df, d, cells) for d in values if kinds[d] == "string"}
+    if numeric:
+        cuts |= zip(numeric, df.agg(*(F.percentile_approx(values[d], shares, ACCURACY).alias(str(k)) for k, d in enumerate(numeric))).first())
+    # a value that many rows share gives equal cuts, which count once
+    return F.array(*(sum((F.when(values[d] > F.lit(cut), 1).otherwise(0) for cut in sorted(set(cuts[d] or []))), F.lit(0)) for d in dims))
 
 
 def with_hilbert_index(df: DataFrame, cells: str, dims: int, bits: int = BITS, out: str = "curve") -> DataFrame:
