@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from vitalframe.llm.common import written
 
+# Digest ranges that labelled ids are counted by.
+RANGE_BITS = 16
 SAMPLE_ROWS = 6_000
 THRESHOLD = 0.3
 HELD_OUT = 2
@@ -172,9 +174,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     one = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("label"))
     if held_out is not None:
         one = one.where(fold(F.col("doc_id")) != held_out)
-    # the smallest digests of each class: a partial group limit runs before the shuffle
-    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = one.withColumn("place", place).where(F.col("place") <= rows).select("doc_id", "label")
+    # counted digest ranges (at most 2 * 2^RANGE_BITS rows) tell which of them hold the smallest digests,
+    # so that only the ids of those ranges are ranked, each range by itself
+    digest = F.xxhash64("doc_id")
+    one = one.withColumn("digest", digest).withColumn("range", F.shiftright("digest", 64 - RANGE_BITS))
+    counts = one.groupBy("label", "range").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("label").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).where(F.col("before") < rows).drop("n")
+    inside = F.row_number().over(Window.partitionBy("label", "range").orderBy("digest", "doc_id"))
+    # at most one range per sampled row and class
+    ranked = one.join(F.broadcast(ranges), ["label", "range"]).withColumn("place", F.col("before") + inside)
+    chosen = ranked.where(F.col("place") <= rows).select("doc_id", "label")
     # at most twice the sample size of ids, so that no text is shuffled to find the sample
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
     return found.dropDuplicates(["text", "label"])
