@@ -8,9 +8,11 @@ Queries visit one shard first; the k-th scores found there travel with them as t
 other shards, which then open few nodes and return few rows.
 
 Results for odd input: vectors that are null, empty, or hold a null or non-finite component, and rows
-with a null id, take no part; vectors of other lengths than the query's are no candidates; repeated
-rows are candidates each, but a query's own id never is; of repeated query ids the smallest vector
-asks; an empty table gives no rows; extra columns play no part.
+with a null id, take no part; neither do vectors so long that an inner product might pass 64 bits
+(squared length above LONGEST, after scaling); vectors of other lengths than the query's are no
+candidates; repeated rows are candidates each (searched once, with their number), but a query's own id
+never is; of repeated query ids the smallest vector asks; ties go to the smaller id; an empty table
+gives no rows; extra columns play no part.
 """
 
 from __future__ import annotations
@@ -31,13 +33,20 @@ BLOCK_QUERIES = 4096
 LEAF = 32
 # sums of products below this are exact in double precision
 EXACT = float(1 << 53)
-RESULT = "query_id long, vec_id long, score long"
+# Squared lengths up to this: by Cauchy and Schwarz no product of two such vectors passes 64 bits, with
+# room for the rounding of the sum.
+LONGEST = 9.2e18
+RESULT = "query_id long, vec_id long, score long, copies long"
 
 
 def integers(vector: Column) -> Column:
     """floor(SCALE * x) per component; null for vectors that take no part."""
-    usable = (F.size(vector) > 0) & F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
-    return F.when(usable, F.transform(vector, lambda x: F.floor(F.lit(SCALE) * x.cast("double"))))
+    finite = lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))
+    scaled = lambda x: F.lit(float(SCALE)) * x.cast("double")
+    # one more than the scaled size, as floors go away from zero below it
+    square = lambda x: (F.abs(scaled(x)) + 1) * (F.abs(scaled(x)) + 1)
+    short = F.aggregate(vector, F.lit(0.0), lambda total, x: total + square(x)) <= LONGEST
+    return F.when((F.size(vector) > 0) & F.forall(vector, finite) & short, F.transform(vector, lambda x: F.floor(scaled(x))))
 
 
 @dataclass
@@ -84,11 +93,11 @@ def build(points: np.ndarray, leaf: int = LEAF) -> Tree:
 
 
 def search(tree: Tree, points: np.ndarray, ids: np.ndarray, query: np.ndarray, own_id: int, k: int, floor: float, exact) -> list[tuple[int, int]]:
-    """(score, id) of the best k above or at the floor, ties to the smaller id."""
+    """(score, row) of the best k rows above or at the floor, ties to the smaller id."""
     length = float(np.sqrt(query @ query))
     slack = 1e-6 * (1 + length * (np.abs(tree.centre).max(initial=0) * np.sqrt(points.shape[1]) + tree.radius.max(initial=0)))
     bounds = tree.centre @ query + length * tree.radius + slack
-    best: list[tuple[int, int]] = []
+    best: list[tuple[int, int, int]] = []
     heap = [(-bounds[0], 0)]
     while heap and -heap[0][0] >= floor:
         node = heapq.heappop(heap)[1]
@@ -101,14 +110,14 @@ def search(tree: Tree, points: np.ndarray, ids: np.ndarray, query: np.ndarray, o
         scores = exact(rows, query)
         for row, score in zip(rows, scores):
             if score >= floor and ids[row] != own_id:
-                entry = (int(score), -int(ids[row]))
+                entry = (int(score), -int(ids[row]), int(row))
                 if len(best) < k:
                     heapq.heappush(best, entry)
                 elif entry > best[0]:
                     heapq.heapreplace(best, entry)
         if len(best) == k:
             floor = max(floor, best[0][0])
-    return [(score, -neg) for score, neg in best]
+    return [(score, row) for score, _, row in best]
 
 
 def _cell(k: int):
@@ -117,6 +126,7 @@ def _cell(k: int):
         if len(vectors) and len(queries):
             whole = np.array(vectors["v"].tolist(), dtype=np.int64)
             points, ids = whole.astype(float), vectors["vec_id"].to_numpy()
+            copies = vectors["copies"].to_numpy()
             tree = build(points)
             largest = float(np.abs(points).max())
             for own_id, v, floor in zip(queries["query_id"], queries["q"], queries["floor"]):
@@ -127,8 +137,8 @@ def _cell(k: int):
                 else:
                     exact = lambda at, q, asked=asked: whole[at].astype(object) @ asked.astype(object)
                 found = search(tree, points, ids, query, own_id, k, -np.inf if floor is None or np.isnan(floor) else floor, exact)
-                rows += [(own_id, i, s) for s, i in found]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
+                rows += [(own_id, int(ids[row]), s, int(copies[row])) for s, row in found]
+        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score", "copies"])
 
     return run
 
@@ -139,7 +149,8 @@ def _numbers(n: int) -> Column:
 
 
 def best_k(found: DataFrame, k: int) -> DataFrame:
-    """The k best rows per query with their rank."""
+    """The k best rows per query with their rank; copies count as rows."""
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -150,12 +161,14 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id and score for every row that asks, against all other rows."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), integers(F.col(vector)).alias("v"), F.coalesce(asks, F.lit(False)).alias("asks"))
-    rows = written(rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).withColumn("dim", F.size("v")), "integers")
+    # equal rows become one before the shuffle, so that a row repeated without end fills no shard
+    rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).groupBy("vec_id", "v", "asks").agg(F.count("*").alias("copies"))
+    rows = written(rows.withColumn("dim", F.size("v")), "integers")
     counts = rows.agg(F.count("*").alias("n"), F.count(F.when(F.col("asks"), 1)).alias("q")).first()
     shards, blocks = max(1, -(-counts["n"] // shard_rows)), max(1, -(-counts["q"] // block_queries))
     block = F.pmod(F.xxhash64(F.lit(1), "query_id"), F.lit(blocks)).alias("block")
     # the row digest spreads repeated ids as well
-    dealt = rows.select("dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).alias("shard"), "vec_id", "v")
+    dealt = rows.select("dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).alias("shard"), "vec_id", "v", "copies")
     dealt = dealt.select("*", _numbers(blocks).alias("block"))
     queries = rows.where("asks").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q"))
     queries = queries.select("query_id", F.size("q").alias("dim"), "q", block, F.pmod(F.xxhash64(F.lit(2), "query_id"), F.lit(shards)).alias("home"))
