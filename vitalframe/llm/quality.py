@@ -7,7 +7,8 @@ posterior probability of being good decides, not the agreement of all rules.
 
 Results for odd input: null and empty texts have no words, all rules abstain on them and they fail
 the base test; repeated rows are judged each; an empty table gives no rows; extra columns pass
-through untouched, as everything made here sits in one struct column.
+through untouched where asked for, whatever their names (one named like a result column is then there
+twice).
 """
 
 from __future__ import annotations
@@ -174,12 +175,13 @@ def judge_documents(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text:
     Measures are written once to the shared folder: the estimate needs those of all documents before
     the first one can be judged.
     """
-    measured = measure(docs.select(*dict.fromkeys([*keep, text])), text)
-    if text not in keep:
-        measured = measured.drop(text)
+    # the caller's columns travel in a struct, so that their names meet none of those made here
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_whole"))
+    measured = measure(rows, "_whole").drop("_whole")
     voted = written(measured.withColumn("votes", F.array(*votes(F.col("measures")))), "measures")
     # texts too short for any verdict would only blur what the rules mean
     judge = estimate(voted.where(F.col("measures.n_words") >= LEAST_WORDS))
     m, cast = F.col("measures"), [F.col("votes")[j] for j in range(len(judge.on_good))]
     judged = voted.withColumn("p_good", posterior(cast, judge)).withColumn("base_failed", base_failed(m))
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= KEEP_FROM))
+    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= KEEP_FROM))
+    return judged.select(*(F.col("_row")[c].alias(c) for c in keep), "measures", "votes", "p_good", "base_failed", "kept")
