@@ -21,6 +21,9 @@ BLANKS = r"\x20\x09-\x0D"
 BATCH_ROWS = 1_024
 BATCH_BYTES = "8m"
 
+HOT_KEYS = 1_000
+SALTS = 64
+
 _shared: set[str] = set()
 
 
@@ -51,6 +54,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on a key that a few values may dominate on the left; null keys match nothing.
+
+    Values with more than one part in HOT_KEYS of all rows, at most HOT_KEYS of them, are counted first
+    and met in SALTS tasks each.
+    """
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    every = counts.agg(F.sum("_n").alias("_every"))
+    hot = counts.join(F.broadcast(every), F.col("_n") * HOT_KEYS > F.col("_every")).select(key, F.lit(SALTS).alias("_salts"))
+    mark = lambda df: df.join(F.broadcast(hot), key, "left")
+    salts = F.when(F.col(key).isNull(), SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
+    spread = mark(left).withColumn("_salt", F.pmod(F.xxhash64(*left.columns), salts).cast("int")).drop("_salts")
+    copied = mark(right).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return spread.join(copied, [key, "_salt"], how).drop("_salt")
+
+
 def words(text: Column) -> Column:
     """Runs of non-blank characters, in order; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{BLANKS}]+"), "")

@@ -25,16 +25,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalframe.llm.common import lower_ascii, written
+from vitalframe.llm.common import HOT_KEYS, SALTS, lower_ascii, written
 from vitalframe.sources.tables import work_path
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
 FAN_OUT = 4
 BATCHES = 4
-# Keys that hold over one part in HOT_KEYS of all repeated entries meet in SALTS tasks each.
-HOT_KEYS = 1_000
-SALTS = 64
 STRIP = " \t\n\x0b\f\r"
 
 
