@@ -1,14 +1,16 @@
 """Line runs, label samples, repeated vectors and weak supervision against plain versions; clashing names."""
 
 import math
+import os
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vitalframe.llm import balltree, lines, quality, toxicity
-from vitalframe.llm.common import share_code, table
+from vitalframe.llm import balltree, licences, lines, quality, toxicity
+from vitalframe.llm.common import share_code, spread_join, table
 
 
 # --- line runs ----------------------------------------------------------------------------------
@@ -140,3 +142,71 @@ def test_verdicts_agree_with_the_labels(spark):
     rows = judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n")).orderBy("quality").collect()
     print([(r["quality"], round(r["kept"], 3), r["n"]) for r in rows])
     assert rows[-1]["kept"] > rows[0]["kept"] + 0.2
+
+
+# --- licences -----------------------------------------------------------------------------------
+SYSTEM = "/usr/share/common-licenses"
+KNOWN = {"Apache-2.0": "Apache-2.0", "GPL-3": "GPL-3.0", "GPL-2": "GPL-2.0", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "BSD": "BSD-3-Clause"}
+
+
+def in_lines(text, width=70, prefix=""):
+    rows, row = [], ""
+    for word in text.split():
+        if len(row) + len(word) > width:
+            rows.append(row)
+            row = ""
+        row += f" {word}" if row else word
+    return "\n".join(prefix + r for r in [*rows, row])
+
+
+def test_whole_licence_files_are_found_and_inherited(spark, sf):
+    """Beside a corpus, whose texts make the document frequencies."""
+    mit, bsd = dict(licences.FILE_TEMPLATES)["MIT"], dict(licences.FILE_TEMPLATES)["BSD-3-Clause"]
+    texts = {"MIT": "MIT License\n\nCopyright (c) 2019 Some One\n\n" + in_lines(mit.split(". ", 1)[1]), "BSD-3-Clause": "Copyright (c) 2001, A University\n" + in_lines(bsd)}
+    for name, licence in KNOWN.items():
+        if os.path.exists(f"{SYSTEM}/{name}"):
+            texts[licence] = open(f"{SYSTEM}/{name}", encoding="utf-8").read()
+    rows, expect = [], {}
+    for n, (licence, text) in enumerate(texts.items()):
+        rows += [(10 * n, f"{licence}/LICENSE", text), (10 * n + 1, f"{licence}/src/deep/x.py", "print(1)\n"), (10 * n + 2, f"{licence}/y.py", None)]
+        expect |= {10 * n: (licence, "own"), 10 * n + 1: (licence, "inherited"), 10 * n + 2: (licence, "inherited")}
+    # a header over several comment lines, a novel that mentions a licence, and a reserved right beside a licence
+    head = in_lines("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.", 50, "# ")
+    novel = " ".join(f"they walked along road {k} and spoke of the weather" for k in range(60)) + ". He had lost his driving licence in June."
+    rows += [(1000, "p/a.py", head + "\n\nimport os\n" + "x = compute(y)\n" * 80), (1001, "p/b.txt", novel), (1002, "p/c.txt", "Copyright. All rights reserved.\nReleased under the MIT License.\n" + novel)]
+    expect |= {1000: ("MIT", "own"), 1001: (None, "none"), 1002: ("MIT", "own")}
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    corpus = table(spark, sf, "documents").select((-1 - F.col("doc_id")).alias("doc_id"), F.lit(None).cast("string").alias("path"), "text")
+    found = licences.scan(docs.unionByName(corpus), F.col("path")).where("doc_id >= 0").collect()
+    assert {r["doc_id"]: (r["licence"], r["origin"]) for r in found} == expect
+
+
+def test_cosines_against_numpy(spark):
+    """Scores of lines and whole texts by dense vectors over all terms."""
+    texts = ["Released under the MIT License", "licensed under the apache license version 2.0 today", "plain words only", dict(licences.FILE_TEMPLATES)["ISC"], "the the software licence", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    split = lambda t: [w for w in re.split(licences.TERM_BREAK, (t or "").lower()) if w]
+    held = [set(split(t)) for t in texts]
+    vocabulary = {r[3] for r in licences._template_terms()}
+    idf = lambda w: math.log((1 + len(texts)) / (1 + (sum(w in h for h in held) if w in vocabulary else 0))) + 1
+
+    def vector(text, damped):
+        return {w: (1 + math.log(n) if damped else n) * idf(w) for w, n in Counter(split(text)).items()}
+
+    def cosine(a, b):
+        size = lambda v: math.sqrt(sum(x * x for x in v.values()))
+        return sum(x * b.get(w, 0) for w, x in a.items()) / (size(a) * size(b)) if a else 0
+
+    got = {r["doc_id"]: r["score"] for r in licences.scan(docs, F.lit(None).cast("string")).collect()}
+    for i, text in enumerate(texts):
+        whole = max(cosine(vector(text, True), vector(t, True)) for _, t in licences.FILE_TEMPLATES)
+        line = max(cosine(vector(text, False), vector(t, False)) for _, t in licences.TEMPLATES)
+        expect = whole if whole >= licences.FILE_THRESHOLD else line if line >= licences.THRESHOLD and i != 2 else None
+        assert (got[i] is None) == (expect is None) and (expect is None or abs(got[i] - expect) < 1e-6), (i, got[i], whole, line)
+
+
+def test_spread_join_equals_join(spark):
+    left = spark.createDataFrame([(k, "hot" if k % 3 == 0 else None if k % 7 == 0 else f"k{k}") for k in range(400)], "n long, name string")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), (None, 4)], "name string, v long")
+    for how in ("inner", "left"):
+        assert Counter(map(tuple, spread_join(left, right, "name", how).select("n", "name", "v").collect())) == Counter(map(tuple, left.join(right, "name", how).select("n", "name", "v").collect()))
