@@ -27,7 +27,8 @@ THRESHOLD = 0.7
 # A file is a licence file when licence sentences hold at least this share of its words.
 FILE_SHARE = 0.5
 # Or when its whole text is this close to a licence's text; long licences are given by their openings.
-FILE_THRESHOLD = 0.45
+# A version that has no template is either below this or read as the nearest version.
+FILE_THRESHOLD = 0.5
 TERM_BREAK = r"[^a-z0-9.+]+|\.(?![0-9])"
 SENTENCE_BREAK = r"\n|(?<=[.;!?])[ \t]+"
 # A line feed inside a paragraph, with the comment marks that open the next line; it is kept as one mark.
@@ -112,7 +113,15 @@ FILE_TEMPLATES = [
     Permissions. 3. Protecting Users' Legal Rights From Anti-Circumvention Law. 4. Conveying Verbatim Copies. 5. Conveying Modified Source Versions. 6. Conveying
     Non-Source Forms. User Product, Installation Information. 7. Additional Terms. 8. Termination. 9. Acceptance Not Required for Having Copies. 10. Automatic
     Licensing of Downstream Recipients. 11. Patents; contributor version, essential patent claims. 12. No Surrender of Others' Freedom. 13. Use with the GNU
-    Affero General Public License. 14. Revised Versions. 15. Disclaimer of Warranty. 16. Limitation of Liability."""),
+    Affero General Public License. 14. Revised Versions. 15. Disclaimer of Warranty. 16. Limitation of Liability. You may make, run and propagate covered works
+    that you do not convey, without conditions so long as your license otherwise remains in force. You may convey verbatim copies of the Program's source code
+    as you receive it, in any medium, provided that you conspicuously and appropriately publish on each copy an appropriate copyright notice; keep intact all
+    notices stating that this License and any non-permissive terms added in accord with section 7 apply to the code; and give all recipients a copy of this
+    License along with the Program. You must license the entire work, as a whole, under this License to anyone who comes into possession of a copy. A compilation
+    of a covered work with other separate and independent works, which are not by their nature extensions of the covered work, is called an aggregate. If you
+    cease all violation of this License, then your license from a particular copyright holder is reinstated provisionally. An entity transaction is a transaction
+    transferring control of an organization. If conditions are imposed on you (whether by court order, agreement or otherwise) that contradict the conditions of
+    this License, they do not excuse you from the conditions of this License."""),
     ("GPL-2.0", """GNU GENERAL PUBLIC LICENSE Version 2, June 1991. Copyright Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim
     copies of this license document, but changing it is not allowed. Preamble. The licenses for most software are designed to take away your freedom to share
     and change it. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free software. TERMS AND CONDITIONS FOR
@@ -120,7 +129,11 @@ FILE_TEMPLATES = [
     it may be distributed under the terms of this General Public License. The "Program" refers to any such program or work, and a "work based on the Program"
     means either the Program or any derivative work under copyright law. You may copy and distribute verbatim copies of the Program's source code as you receive
     it. You must cause the modified files to carry prominent notices. Accompany it with the complete corresponding machine-readable source code, or a written
-    offer, valid for at least three years. You are not required to accept this License, since you have not signed it. NO WARRANTY."""),
+    offer, valid for at least three years. You are not required to accept this License, since you have not signed it. However, nothing else grants you permission
+    to modify or distribute the Program or its derivative works. Each time you redistribute the Program, the recipient automatically receives a license from the
+    original licensor to copy, distribute or modify the Program subject to these terms and conditions. If, as a consequence of a court judgment or allegation of
+    patent infringement or for any other reason, conditions are imposed on you that contradict the conditions of this License, they do not excuse you. NO WARRANTY.
+    BECAUSE THE PROGRAM IS LICENSED FREE OF CHARGE, THERE IS NO WARRANTY FOR THE PROGRAM, TO THE EXTENT PERMITTED BY APPLICABLE LAW."""),
     ("LGPL-3.0", """GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007. This version of the GNU Lesser General Public License incorporates the terms and
     conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below. "The Library" refers to a covered work
     governed by this License, other than an Application or a Combined Work. An "Application" is any work that makes use of an interface provided by the Library.
@@ -131,7 +144,11 @@ FILE_TEMPLATES = [
     the notice in Exhibit A, the Executable Form of such Source Code Form, and Modifications. "Incompatible With Secondary Licenses". "Larger Work" means a work
     that combines Covered Software with other material. "Licensable". "Patent Claims". "Secondary License" means the GNU General Public License, the GNU Lesser
     General Public License, the GNU Affero General Public License. 2. License Grants and Conditions. 3. Responsibilities. 4. Inability to Comply Due to Statute
-    or Regulation. 5. Termination. 6. Disclaimer of Warranty. 7. Limitation of Liability. 8. Litigation. 9. Miscellaneous. 10. Versions of the License."""),
+    or Regulation. 5. Termination. 6. Disclaimer of Warranty. 7. Limitation of Liability. 8. Litigation. 9. Miscellaneous. 10. Versions of the License. Each
+    Contributor hereby grants You a world-wide, royalty-free, non-exclusive license under intellectual property rights (other than patent or trademark) Licensable
+    by such Contributor to use, reproduce, make available, modify, display, perform, distribute, and otherwise exploit its Contributions. All distribution of
+    Covered Software in Source Code Form, including any Modifications that You create or to which You contribute, must be under the terms of this License. You
+    must inform recipients that the Source Code Form of the Covered Software is governed by the terms of this License, and how they can obtain a copy."""),
 ]
 
 
