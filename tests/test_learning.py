@@ -134,3 +134,15 @@ def test_published_grids():
 
     assert (points(ml.RF_GRID), points(ml.GBT_GRID), ml.FOLDS) == (8, 16, 5)
     assert ml.margin_grid(1000) == {"regParam": [0.01, 0.001, 0.0001]}
+
+
+def test_weights_leave_the_rows_where_they_lie(spark):
+    """A shuffle by class would put all rows of a class into one task."""
+    df = spark.range(0, 900, 1, 6).select((F.col("id") % 3).cast("double").alias("label"), "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weighed = ml.with_weights(df)
+        assert weighed.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() == [150] * 6
+        assert {r.class_weight for r in weighed.collect()} == {1.0}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
