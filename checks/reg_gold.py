@@ -32,20 +32,33 @@ def gold(spark, sf, domain, upto="prompts"):
     return run_pipeline(spark, sf, domain, upto, DAY)
 
 
+def numbered(spark, sf, domain):
+    return tt.numbered_silver(load(spark, sf, tt.DOMAIN_SOURCE[domain]), domain)
+
+
 def view(spark, sf, domain):
-    numbered = tt.number_rows(gold(spark, sf, domain, "silver"), domain)
-    return tt.SELECT[domain](refine(numbered, domain, as_of=DAY))
+    return tt.SELECT[domain](refine(numbered(spark, sf, domain), domain, as_of=DAY))
 
 
 def pairs(spark, sf, domain):
     return tt.PAIRS[domain](view(spark, sf, domain))
 
 
+def sides(spark, sf, domain):
+    """Training and validation patients: the numbered silver table, written once, and nothing built on it yet."""
+    written = tables.materialize(numbered(spark, sf, domain), tables.work_path(spark, f"{domain}_numbered"))
+    return sp.hash_split(written, "patient_id")
+
+
+def texts(part, domain, system):
+    """Training rows of numbered silver rows, built row by row."""
+    return tt.to_training_rows(tt.PAIRS[domain](tt.SELECT[domain](refine(part, domain, as_of=DAY))), system[domain])
+
+
 def rows(spark, sf, domain):
-    """Training and validation rows over the pair table, which is written once and read by both."""
-    written = tables.materialize(pairs(spark, sf, domain), tables.work_path(spark, f"{domain}_pairs"))
-    train, valid = sp.hash_split(written, "patient_id")
-    return tt.to_training_rows(train, txt.TRAIN_SYSTEM[domain]), tt.to_training_rows(valid, txt.VALIDATION_SYSTEM[domain])
+    """Training and validation rows; each row's texts are built once, on its own side."""
+    train, valid = sides(spark, sf, domain)
+    return texts(train, domain, txt.TRAIN_SYSTEM), texts(valid, domain, txt.VALIDATION_SYSTEM)
 
 
 # --- gold tables --------------------------------------------------------------------------------
@@ -166,20 +179,20 @@ def _sample_sql(domain, n, seed):
 
 @register("p02_stratified_sample", rows_sql("hypertension", "SELECT * FROM sample", *_sample_sql("hypertension", 16000, 7)))
 def _(spark, sf):
-    silver = tt.number_rows(gold(spark, sf, "hypertension", "silver"), "hypertension")
-    numbered = tables.materialize(silver, tables.work_path(spark, "numbered_silver"))
+    silver = tables.materialize(numbered(spark, sf, "hypertension"), tables.work_path(spark, "numbered_silver"))
 
     def train_rows(part):
         train, _ = sp.hash_split(part, "patient_id")
-        texts = tt.PAIRS["hypertension"](tt.SELECT["hypertension"](refine(train, "hypertension", as_of=DAY)))
-        return tt.to_training_rows(texts, txt.TRAIN_SYSTEM["hypertension"])
+        return texts(train, "hypertension", txt.TRAIN_SYSTEM)
 
-    return sp.sample_before(numbered, train_rows, "ground_truth_urgency", 16000, "patient_id", 7)
+    return sp.sample_before(silver, train_rows, "ground_truth_urgency", 16000, "patient_id", 7)
 
 
 @register("p03_random_n", rows_sql("hypertension", f"SELECT * FROM valid ORDER BY {seeded(7)}, patient_id LIMIT 3000"))
 def _(spark, sf):
-    return sp.random_n(rows(spark, sf, "hypertension")[1], 3000, "patient_id", 7)
+    _, valid = sides(spark, sf, "hypertension")
+    # ids are drawn before any text is built
+    return texts(sp.random_n(valid, 3000, "patient_id", 7), "hypertension", txt.VALIDATION_SYSTEM)
 
 
 @register("p04_shuffle", over("model_predictions", "SELECT * FROM model_predictions"))

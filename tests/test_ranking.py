@@ -191,3 +191,25 @@ def test_past_talks_prefer_similar_ones(spark):
     for r in ctx.past_talks(asked, history, index).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.conversation_id))
     assert {k: sorted(v) for k, v in got.items()} == {"q1": [(1, "new")], "q2": [(1, "old"), (2, "older")]}
+
+
+def test_distinct_rows_are_numbered_in_one_shuffle(spark, monkeypatch):
+    """The ids of a table made distinct first, with NULL keys, negative zeros and a key that holds most rows."""
+    rows = [(f"c{i % 40}" if i % 7 else None, float(i % 11) * (-1.0 if i % 11 == 0 else 1.0), i % 5) for i in range(600)] + [("hot", 0.0, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "a string, b double, rest int")
+    same = df.withColumn("b", F.col("b") + F.lit(0.0))
+    expect = sorted(map(str, ranking.surrogate_id(cleaning.dedupe(same, ["a", "b"]), "P_", ["a", "b"]).collect()))
+    assert len(expect) == len({(a, b) for a, b, _ in rows})
+    for hot, task in ((100_000, 1_000_000), (3, 100), (0, 7)):
+        monkeypatch.setattr(ranking, "HOT_ROWS", hot)
+        monkeypatch.setattr(ranking, "TASK_ROWS", task)
+        out = ranking.distinct_surrogate_id(df, ["a", "b"], "P_", ["a", "b"])
+        assert sorted(map(str, out.select("a", "b", "rest", "patient_id").collect())) == expect
+    monkeypatch.setattr(ranking, "HOT_ROWS", 100_000)
+    out = ranking.distinct_surrogate_id(df, ["a", "b"], "P_", ["a", "b"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
+    # the rows, the same rows to be counted (reused), and the table of buckets
+    assert moved and all("hashpartitioning(_bucket" in line for line in moved), moved
+    none = ranking.distinct_surrogate_id(df.limit(0), ["a", "b"], "P_", ["a", "b"])
+    assert none.count() == 0
