@@ -264,6 +264,42 @@ def test_groups_near_the_similarity_against_all_pairs(spark):
     assert expect <= stay and gone >= 0.98 * should, (len(rows), len(expect), len(stay))
 
 
+def test_balls_link_what_meets_at_no_key(spark):
+    """Similar texts within three bits are one group without a common band key; unlike ones with one fingerprint stay."""
+    share_code(spark)
+    rng = np.random.default_rng(4)
+    rows, wanted = [], {False: 2, True: 1}
+    while any(wanted.values()):
+        tail = [f"w{k}" for k in rng.integers(0, 50_000, 44)]
+        edited = [*tail[:22], "other", *tail[23:]]
+        phrase = ["again"] * int(rng.integers(18, 30))
+        one, two = " ".join(phrase + tail), " ".join(phrase + edited)
+        bits = bin((simhash.fingerprint(one.encode(), 5) ^ simhash.fingerprint(two.encode(), 5)) % (1 << 64)).count("1")
+        a, b = five_word_shingles(one), five_word_shingles(two)
+        if bits > 3 or len(a & b) < 0.8 * len(a | b) or not wanted[bits > 0]:
+            continue
+        if set(simhash.band_keys(simhash.shingle_set(one.encode(), 5))).isdisjoint(simhash.band_keys(simhash.shingle_set(two.encode(), 5))):
+            wanted[bits > 0] -= 1
+            rows += [(len(rows), one), (len(rows) + 1, two)]
+    unlike = [" ".join(["often"] * 300 + [f"w{k}" for k in rng.integers(0, 50_000, 60)]) for _ in range(2)]
+    assert simhash.fingerprint(unlike[0].encode(), 5) == simhash.fingerprint(unlike[1].encode(), 5)
+    rows += [(100, unlike[0]), (101, unlike[1])]
+    stay = {r["doc_id"] for r in simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()}
+    assert stay == {0, 2, 4, 100, 101}
+
+
+def test_rows_that_stay_are_whole_however_the_lists_are_met(spark, monkeypatch):
+    """Copies, repeats and single rows give the same rows whether their short lists are broadcast or shuffled."""
+    share_code(spark)
+    words = [f"w{k}" for k in range(90)]
+    rows = [(3, " ".join(words), "x"), (2, " ".join(words), "y"), (2, " ".join(words), "y"), (None, "alone", "z"), (None, "alone", "z"), (7, None, "u"), (8, "seven", "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    expect = sorted(map(str, [(2, rows[1][1], "y"), (None, "alone", "z"), (7, None, "u"), (8, "seven", "v")]))
+    assert sorted(str(tuple(r)) for r in simhash.one_per_group(docs, 5).collect()) == expect
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", 0)
+    assert sorted(str(tuple(r)) for r in simhash.one_per_group(docs, 5).collect()) == expect
+
+
 def test_hub_does_not_hide_other_links(spark):
     """A pair is linked also if one of the two is near the hub of a key and the other is not."""
     links = [(1, [0, 1, 2, 3, 4, 5, 6, 7, 8, 9]), (2, [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]), (3, [2, 3, 4, 5, 6, 7, 8, 9, 10, 11]), (4, [50, 51])]

@@ -19,11 +19,14 @@ variants around it, a shuffle brings equal variants together, and what meets is
 
 Equal fingerprints are one node, however many documents share them.
 
-Three of 64 bits is a narrow ball, and distances only estimate what texts share. `one_per_group`
-therefore links on the shingle sets themselves. Equal sets are one node. Every node emits a key per
-band of minimum hashes, and nodes that meet at a key are compared: their sets are joined, and a link
-needs the wanted similarity (Jaccard) exactly. So a wrong link cannot occur, and a pair is missed
-only if it meets at no key: one in 400 at 0.8, one in 4,000 at 0.83.
+Distances only estimate what texts share, so `one_per_group` checks what the balls group. Equal
+shingle sets are one node. Nodes of one component of the fingerprints meet, and those that meet are
+compared: their sets are joined, and a link needs the wanted similarity (Jaccard) exactly. So a wrong
+link cannot occur, and no pair within three bits is lost.
+
+Three of 64 bits is also a narrow ball. Every node therefore emits a key per band of minimum hashes
+as well, and nodes that meet at such a key are compared like those of a component. A similar pair
+beyond three bits is missed only if it meets at no key: one in 400 at 0.8, one in 4,000 at 0.83.
 
 A key's members are first compared with its hub, the member that meets most others; then every two
 members whom the links so far leave in different components. So no member leaves a group untried,
@@ -57,21 +60,32 @@ SIMILARITY = 0.8
 BANDS = 20
 ROWS = 6
 CHUNK = 8_192
+# So many short rows (an id, two digests) take some 150 MB on the driver and on each executor.
+BROADCAST_ROWS = 2_000_000
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """Signed 64-bit SimHash of the word shingles (fewer words: the whole sequence; none: zero)."""
+def shingle_digests(text: bytes | None, shingle: int) -> np.ndarray:
+    """Eight bytes per word shingle, repeats included (fewer words: the whole sequence; none: no row)."""
     words = text.lower().split() if text else []
     if not words:
-        return 0
+        return np.empty((0, 8), np.uint8)
     digest = xxhash.xxh64_digest
     joined = map(b" ".join, zip(*(words[k:] for k in range(shingle)))) if len(words) > shingle else [b" ".join(words)]
-    digests = np.frombuffer(b"".join([digest(s, SEED) for s in joined]), np.uint8).reshape(-1, 8)
+    return np.frombuffer(b"".join([digest(s, SEED) for s in joined]), np.uint8).reshape(-1, 8)
+
+
+def majority(digests: np.ndarray) -> int:
+    """Signed number of the bits that are set in over half of the digests (none: zero)."""
     counts = np.unpackbits(digests, axis=1).sum(axis=0, dtype=np.uint32)
     return int.from_bytes(np.packbits(2 * counts > len(digests)).tobytes(), "big", signed=True)
 
 
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
+    """Signed 64-bit SimHash of the word shingles (fewer words: the whole sequence; none: zero)."""
+    return majority(shingle_digests(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The kept columns and the fingerprint of the whole text."""
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("fingerprint", T.LongType())])
@@ -87,11 +101,14 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", ke
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
+def different(digests: np.ndarray) -> np.ndarray:
+    """Sorted different digests as numbers (none: that of the empty sequence)."""
+    return np.unique(digests.view(">u8").astype(np.uint64)) if len(digests) else np.array([xxhash.xxh64_intdigest(b"", SEED)], np.uint64)
+
+
 def shingle_set(text: bytes | None, shingle: int) -> np.ndarray:
     """Sorted digests of the different word shingles (fewer words: the whole sequence, also of none)."""
-    words = text.lower().split() if text else []
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(b" ".join(words[k : k + shingle]), SEED) for k in range(max(1, len(words) - shingle + 1))], np.uint64))
+    return different(shingle_digests(text, shingle))
 
 
 def band_keys(hashes: np.ndarray) -> list[int]:
@@ -100,19 +117,22 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least)]
 
 
-def band_marks(docs: DataFrame, shingle: int) -> DataFrame:
-    """id, digest, node (a digest of the shingle set), its size and its band keys."""
-    schema = T.StructType([docs.schema["id"], docs.schema["digest"], T.StructField("node", T.LongType()), T.StructField("size", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+def set_marks(docs: DataFrame, shingle: int) -> DataFrame:
+    """id, digest, fingerprint, node (a digest of the shingle set), its size and its band keys."""
+    made_fields = [T.StructField(n, T.LongType()) for n in ("fingerprint", "node")] + [T.StructField("size", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+    schema = T.StructType([docs.schema["id"], docs.schema["digest"], *made_fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, keys = [], [], []
+            prints, nodes, sizes, keys = [], [], [], []
             for text in batch.column("text").cast(pa.binary()):
-                hashes = shingle_set(text.as_py(), shingle)
+                digests = shingle_digests(text.as_py(), shingle)
+                hashes = different(digests)
+                prints.append(majority(digests))
                 nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
                 sizes.append(len(hashes))
                 keys.append(np.array(band_keys(hashes), np.uint64).view(np.int64))
-            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
+            made = [pa.array(prints, pa.int64()), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), *made], names=schema.names)
 
     return docs.select("id", "digest", "text").mapInArrow(run, schema)
@@ -140,9 +160,16 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return shared.where(F.col("shared") >= similarity * (F.col("total") - F.col("shared")) - 1e-9).select("a", "b")
 
 
-def _meetings(nodes: DataFrame) -> DataFrame:
+def _ball_keys(marked: DataFrame) -> DataFrame:
+    """node, size and a key per component of the fingerprints that the node's documents have."""
+    prints = written(marked.select("node", "size", "fingerprint").distinct(), "prints")
+    roots = ball_roots(prints.select("fingerprint").distinct())
+    root = F.coalesce("root", "fingerprint")
+    return prints.join(roots, "fingerprint", "left").select("node", "size", F.xxhash64(F.lit("ball"), root).alias("key")).distinct()
+
+
+def _meetings(rows: DataFrame) -> DataFrame:
     """node, size, key and n, the members of the key, for keys with two members and more."""
-    rows = nodes.select("node", "size", F.explode("keys").alias("key"))
     return rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
 
 
@@ -215,15 +242,20 @@ def _links(candidates: DataFrame) -> DataFrame:
     return emitted.withColumn("middle", middle).where(F.col("middle") != fp).select(fp.alias("a"), F.col("middle").alias("b")).distinct()
 
 
+def ball_roots(distinct: DataFrame) -> DataFrame:
+    """fingerprint and root, the smallest fingerprint of its component, for those of different fingerprints that are linked."""
+    roots = stars(_links(written(_screened(distinct), "screened")))
+    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    return linked.select(F.col("node").alias("fingerprint"), "root")
+
+
 def components(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Add component_id, the smallest id reachable over links, and root, the component's smallest
     fingerprint, to rows with a fingerprint."""
     per_fp = written(marked.groupBy("fingerprint").agg(F.min(id_col).alias("least")), "fingerprints")
-    candidates = written(_screened(per_fp.select("fingerprint")), "screened")
-    roots = stars(_links(candidates))
-    # only linked fingerprints have a root; the rest are components of their own
-    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    grouped = per_fp.join(linked, per_fp["fingerprint"] == linked["node"], "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
+    # fingerprints without a link are components of their own
+    linked = ball_roots(per_fp.select("fingerprint"))
+    grouped = per_fp.join(linked, "fingerprint", "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     of_root = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = grouped.join(of_root, "root").select("fingerprint", "component_id", "root")
     return marked.join(of_fp, "fingerprint")
@@ -235,24 +267,37 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, text: str = "text",
     return components(marked, keep[0])
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """Written rows, marked for broadcast if there are at most BROADCAST_ROWS; more are met in a shuffle."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def one_per_group(docs: DataFrame, shingle: int, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The document with the smallest id of every component, whole; of repeated rows one stays.
 
-    Links are pairs that share at least the similarity of their shingles.
+    Links are pairs that share at least the similarity of their shingles. Short rows of ids decide which
+    texts are compared and which rows go; whole texts are only moved where these are too many to broadcast.
     """
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     asked = docs.select(F.col(id_col).alias("id"), digest.alias("digest"), F.col(text).alias("text"))
-    marked = band_marks(asked, shingle)
+    marked = written(set_marks(asked, shingle), "marked")
     first = F.min(F.struct("id", "digest", "size", "keys")).alias("first")
     firsts = written(marked.groupBy("node").agg(first).select("node", "first.*"), "firsts")
-    met = written(_meetings(firsts), "met")
+    keyed = firsts.select("node", "size", F.explode("keys").alias("key")).unionByName(_ball_keys(marked))
+    met = written(_meetings(keyed), "met")
     wanted = firsts.join(met.select("node").distinct(), "node").select("node", F.col("id").alias("first_id"), F.col("digest").alias("first_digest"))
     # equal id and text make a repeated row, whatever its other columns hold
     same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
-    sets = written(shingle_sets(asked.join(wanted, same), shingle).dropDuplicates(["node"]), "sets")
+    sets = written(shingle_sets(asked.join(_counted(written(wanted, "wanted")), same), shingle).dropDuplicates(["node"]), "sets")
     merged = stars(similar_links(met, sets, similarity))
     placed = firsts.select("node", "id", "digest").join(merged, "node", "left")
     best = placed.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(F.struct("id", "digest")).alias("first"))
     chosen = best.select(F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), digest.alias("digest"))
-    return rows.join(chosen, same).dropDuplicates(["first_id", "first_digest"]).select("row.*")
+    # rows that stay once are named by neither list, so they pass where they lie
+    held = marked.groupBy("id", "digest").agg(F.count("*").alias("copies"))
+    gone = held.join(chosen, same, "left_anti").select("id", "digest", F.lit(True).alias("gone"))
+    repeated = held.where("copies > 1").join(chosen, same, "left_semi").select("id", "digest", F.lit(False).alias("gone"))
+    fates = written(gone.unionByName(repeated).select(F.col("id").alias("first_id"), F.col("digest").alias("first_digest"), "gone"), "fates")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), digest.alias("digest")).join(_counted(fates), same, "left")
+    once = rows.where("NOT gone").dropDuplicates(["id", "digest"])
+    return rows.where("gone IS NULL").unionByName(once).select("row.*")
