@@ -59,6 +59,22 @@ def test_one_long_word_takes_linear_time(tokenizer):
     assert [int.from_bytes(bpe.codec(queries.tokenizer_file()).packed[s], "little") for s in automaton.path(few.encode())] == tokenizer.encode(few, add_special_tokens=False).ids
 
 
+def test_split_of_all_settled_characters(tokenizer):
+    codec = bpe.Codec(queries.tokenizer_file())
+    every = [chr(c) for c in range(bpe.SETTLED)]
+    texts = ["".join(f"{a} {c}a{c}{c}1 {c}" for c in every) for a in ("", "'s", "x", "\n")] + ["it's we'll 'Tis a'd\n\n x  'rest", "caf\u00e9 \u2014 x\u00b2 na\u00efve.\n\u4e2d a"]
+    for text in texts:
+        assert list(memoryview(codec.encode(text)).cast("I")) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_remembered_once_whatever_stands_behind_them():
+    codec = bpe.Codec(queries.tokenizer_file())
+    words = [f"{a}{b}tion" for a in "bcdfg" for b in "aeiou"]
+    for mark in [*",.;:!?", "...", ".\nThen", "\n"]:
+        codec.encode("Then " + " ".join(w + mark for w in words))
+    assert sum(len(m) for m in vars(codec).values() if isinstance(m, bpe._Memo)) < 2 * len(words)
+
+
 def test_encoding_of_corpus(spark, sf, tokenizer):
     path = queries.tokenizer_file()
     rows = bpe.encode(table(spark, sf, "documents"), path, keep=("text",)).collect()

@@ -17,26 +17,32 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-# Fixed values of byte-level vocabularies: the pre-split pattern (with Unicode white space written
-# out), and the printable stand-ins for bytes.
-SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PRE_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-
 # Unicode versions differ on letters and digits from here on; such text is split by the library.
-UNSETTLED = regex.compile("[\u0558-\U0010ffff]")
+SETTLED = 0x558
+UNSETTLED = re.compile(f"[{chr(SETTLED)}-\U0010ffff]")
+
 
-# Marks that the pattern keeps in one piece behind a word.
-MARKS = ",.;:!?*#$%&|"
+def _of_category(initial: str) -> str:
+    """The settled characters of the Unicode categories with this initial, for a character class."""
+    return "".join(c for c in map(chr, range(SETTLED)) if unicodedata.category(c)[0] == initial)
+
+
+# Fixed values of byte-level vocabularies: the pre-split pattern (with Unicode classes written out;
+# the order of branches with different first characters is free, and words are tried first), and the
+# printable stand-ins for bytes.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LETTER, DIGIT = _of_category("L"), _of_category("N")
+PRE_SPLIT = rf" ?[{LETTER}]+| ?[{DIGIT}]+|'(?:[stmd]|re|ve|ll)| ?[^{SPACE}{LETTER}{DIGIT}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 ID_BYTES = 4
 ROWS_PER_BATCH = 512
@@ -189,23 +195,16 @@ class Codec:
         self.special = {text: i.to_bytes(ID_BYTES, "little") for text, i in special.items()}
         self.emit = {i: label for label, i in vocab.items()} | {i: text.encode() for text, i in special.items()}
         self.split_special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.pre_split = regex.compile(PRE_SPLIT)
-        self.open_blank = regex.compile(rf" (?:[{SPACE}]|\Z)")
+        self.pre_split = re.compile(PRE_SPLIT)
+        self.open_blank = re.compile(rf" (?:[{SPACE}]|\Z)")
         self.split_as_library = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-        self.pieces = _Memo(self._piece, MEMO_ENTRIES // 4)
-        self.chunks = _Memo(self._chunk, MEMO_ENTRIES)
+        self.pieces = _Memo(self._piece, MEMO_ENTRIES)
+        self.chunks = _Memo(self._chunk, MEMO_ENTRIES // 4)
 
     def _piece(self, piece: str) -> bytes:
         return b"".join([self.packed[s] for s in self.automaton.path(piece.encode())])
 
     def _chunk(self, chunk: str) -> bytes:
-        """A word, a word with marks behind it, or anything else, after one space."""
-        if chunk.isascii() or not UNSETTLED.search(chunk):
-            if chunk.isalpha():
-                return self._piece(" " + chunk)
-            body = chunk.rstrip(MARKS)
-            if body.isalpha():
-                return self.chunks[body] + self.pieces[chunk[len(body) :]]
         return self.pieces_of(" " + chunk)
 
     def pieces_of(self, text: str) -> bytes:
@@ -217,8 +216,9 @@ class Codec:
 
     def _plain(self, text: str) -> bytes:
         # Where no space meets other white space, the pre-split never crosses the place before a
-        # space, so the text falls into chunks whose ids are remembered as a whole.
-        if self.open_blank.search(text):
+        # space. So a text with unsettled characters falls into chunks whose ids are remembered as a
+        # whole, and the library splits those that hold such a character.
+        if text.isascii() or not UNSETTLED.search(text) or self.open_blank.search(text):
             return self.pieces_of(text)
         first, *rest = text.split(" ")
         return self.pieces_of(first) + b"".join(map(self.chunks.__getitem__, rest))
