@@ -75,6 +75,25 @@ def test_words_are_remembered_once_whatever_stands_behind_them():
     assert sum(len(m) for m in vars(codec).values() if isinstance(m, bpe._Memo)) < 2 * len(words)
 
 
+def test_words_met_once_do_not_crowd_out_the_others():
+    made = Counter()
+    memo = bpe._Memo(lambda key: made.update([key]) or key.encode(), 8)
+    for n in range(100):
+        assert memo["often"] == b"often" and memo[f"once {n}"] == f"once {n}".encode()
+        assert len(memo) + len(memo.once) <= 16
+    assert made["often"] == 1
+    for n in range(20):
+        assert [memo[f"twice {n}"], memo[f"twice {n}"]] == [f"twice {n}".encode()] * 2 and len(memo) + len(memo.once) <= 16
+    assert made["often"] == 1 and memo["often"] == b"often"
+
+
+def test_the_library_splits_without_its_vocabulary(tokenizer):
+    codec = bpe.Codec(queries.tokenizer_file())
+    assert codec.split_as_library.__self__.__class__ is tokenizer.pre_tokenizer.__class__
+    for text in ("\u4e2d\u6587 \u0915\u094d\u0937 x\u00b2  \u2014 it's\n\n 12\u0663", "\U0001f600 a\u0301 \ufb01n"):
+        assert list(memoryview(codec.encode(text)).cast("I")) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_encoding_of_corpus(spark, sf, tokenizer):
     path = queries.tokenizer_file()
     rows = bpe.encode(table(spark, sf, "documents"), path, keep=("text",)).collect()

@@ -15,11 +15,13 @@ the tokenizers library has it; repeated rows are encoded each; extra columns pla
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,8 +48,8 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 ID_BYTES = 4
 ROWS_PER_BATCH = 512
-# Memo tables only save time; a full one starts again empty.
-MEMO_ENTRIES = 350_000
+# Memo tables only save time. An entry of words takes some 150 bytes, in every worker.
+MEMO_ENTRIES = 230_000
 LONG_WORD = 64
 LONGEST = 256
 
@@ -65,7 +67,9 @@ class MergeAutomaton:
         self.left, self.right = list(range(256)), list(range(256))
         self.gadgets: dict[int, int] = {}
         self.span = 256 + len(merges)
-        self._arcs: dict[int, bool] = {}
+        # per state, whether an arc leads on to another; answers found so far
+        self._arcs: dict[int, dict[int, bool]] = {}
+        self._answers = 0
         state_of = {label: s for s, label in enumerate(self.labels)}
         live = [True] * 256
         for first, second in merges:
@@ -97,6 +101,14 @@ class MergeAutomaton:
             else:
                 bound, y = y + 1, left[y]
 
+    def _leads(self, x: int, y: int) -> bool:
+        """Whether there is an arc from x to y."""
+        self._answers += 1
+        if self._answers > MEMO_ENTRIES:
+            self._answers = 0
+            self._arcs.clear()
+        return not self._cut(x, y, self.span)
+
     def _prefixes(self, live: list[bool]) -> None:
         """Label tree of nested tables; under LONGEST the longest arc whose label is a prefix of the way there, and per arc the next shorter."""
         root: dict = {LONGEST: -1}
@@ -118,8 +130,7 @@ class MergeAutomaton:
         An accepted path to a place in the word is the only one that ends there, so a place from
         which no arc leads on is given up for good, and the search takes linear time.
         """
-        tree, shorter, lengths = self.tree, self.shorter, self.lengths
-        arcs, span, longest = self._arcs, self.span, self.longest
+        tree, shorter, lengths, longest = self.tree, self.shorter, self.lengths, self.longest
         n, i, last = len(word), 0, -1
         out: list[int] = []
         given_up: set[int] = set()
@@ -133,16 +144,17 @@ class MergeAutomaton:
                         break
                     node = nxt
                 t = node[LONGEST]
+            if last >= 0:
+                arcs = self._arcs.get(last)
+                if arcs is None:
+                    arcs = self._arcs[last] = {}
             while t >= 0:
                 if not given_up or i + lengths[t] not in given_up:
                     if last < 0:
                         break
-                    key = last * span + t
-                    ok = arcs.get(key)
+                    ok = arcs.get(t)
                     if ok is None:
-                        if len(arcs) >= MEMO_ENTRIES:
-                            arcs.clear()
-                        ok = arcs[key] = not self._cut(last, t, span)
+                        ok = arcs[t] = self._leads(last, t)
                     if ok:
                         break
                 t = shorter[t]
@@ -162,20 +174,30 @@ class MergeAutomaton:
 
 
 class _Memo(dict):
-    """Results of a function in two generations: a full table becomes the old one, whose entries return when asked for."""
+    """Results of a function for keys met twice, found by plain lookup; those met once wait in a table of their own.
+
+    Each table holds so many entries at most. A full table of waiting keys starts again empty; from a
+    full memo the older half goes back to wait.
+    """
 
     def __init__(self, make: Callable[[str], bytes], entries: int):
-        self.make, self.entries, self.old = make, entries, {}
+        self.make, self.entries, self.once = make, entries, {}
 
     def __missing__(self, key: str) -> bytes:
-        out = self.old.get(key)
+        out = self.once.get(key)
         if out is None:
             out = self.make(key)
-        if len(key) <= LONG_WORD:
-            if len(self) >= self.entries:
-                self.old = dict(self)
-                self.clear()
-            self[key] = out
+            if len(key) <= LONG_WORD:
+                if len(self.once) >= self.entries:
+                    self.once.clear()
+                self.once[key] = out
+            return out
+        if len(self) >= self.entries:
+            self.once = dict(islice(self.items(), -(-self.entries // 2)))
+            for old in self.once:
+                del self[old]
+        self[key] = out
+        self.once.pop(key, None)
         return out
 
 
@@ -197,7 +219,9 @@ class Codec:
         self.split_special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.pre_split = re.compile(PRE_SPLIT)
         self.open_blank = re.compile(rf" (?:[{SPACE}]|\Z)")
-        self.split_as_library = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+        # the library splits only, so it gets no vocabulary to hold in memory
+        bare = {**spec, "added_tokens": [], "post_processor": None, "model": {"type": "BPE", "vocab": {}, "merges": []}}
+        self.split_as_library = Tokenizer.from_str(json.dumps(bare)).pre_tokenizer.pre_tokenize_str
         self.pieces = _Memo(self._piece, MEMO_ENTRIES)
         self.chunks = _Memo(self._chunk, MEMO_ENTRIES // 4)
 
@@ -243,7 +267,11 @@ class Codec:
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """One compiled automaton per worker and file."""
-    return Codec(path)
+    out = Codec(path)
+    # the automaton stays as it is and holds no garbage: collections need not walk it again and again
+    gc.collect()
+    gc.freeze()
+    return out
 
 
 def _mapped(df: DataFrame, source: str, out: str, kind: str, keep: Sequence[str], one) -> DataFrame:
