@@ -116,3 +116,12 @@ def test_embedding_search_of_all_rows_matches_brute_force(spark, shard_rows, que
         scored = sorted(((cos(vector, v), other) for other, u, _, v in rows if u == user and user is not None and other != key), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
         want = [(other, s) for s, other in scored[:4]]
         assert [w[0] for w in want] == [g[0] for g in got[key]] and [w[1] for w in want] == pytest.approx([g[1] for g in got[key]], abs=1.1e-6), key
+
+
+def test_words_are_counted_in_tasks_by_rows_and_cores(spark, monkeypatch):
+    # short texts fit one task by their bytes
+    monkeypatch.setattr(search, "TASK_ROWS", 100)
+    docs = talk(2000, 4, 5)
+    index = search.text_index(spark.createDataFrame(docs, COLUMNS), "conversation_id", "text")
+    assert len(index.postings.inputFiles()) >= max(15, spark.sparkContext.defaultParallelism)
+    assert {r["shard"] for r in index.postings.collect()} == {0}

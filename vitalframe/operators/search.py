@@ -32,6 +32,9 @@ FILTERS = ("user_id", "routed_to_domain")
 # Conversations of a filter group that one task compares, and queries that it compares them with.
 SHARD_ROWS = 20_000
 QUERY_ROWS = 2_000
+# Texts whose words one task counts, at most on average, and least number of such tasks for a core.
+TASK_ROWS = 50_000
+TASKS_PER_CORE = 3
 # Scores held at once by a task.
 CELL_NUMBERS = 1 << 22
 # A table of at most so many short rows is broadcast.
@@ -100,7 +103,7 @@ class TextIndex:
 
 
 def words_of(text: str) -> Column:
-    return F.filter(F.split(F.lower(F.col(text)), "[^a-z0-9]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.col(text)), "[^a-z0-9]+"), "")
 
 
 def word_counts(rows: DataFrame, ident: Sequence[str], text: str) -> DataFrame:
@@ -145,8 +148,10 @@ def text_index(
     dealt = shards(texts, filters, shard_rows, level_rows)
     ident = [key, *filters, "shard", "large"]
     # few large files may hold many texts, so they are spread before their words are counted; the norm
-    # of a text then needs no second shuffle
-    spread = dealt.deal(texts.select(key, *filters, text), key).repartition(key)
+    # of a text then needs no second shuffle. Counting takes long for the bytes it reads, so that the
+    # number of tasks goes by rows and cores: tasks joined by bytes are too few to be dealt out evenly
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-dealt.n_rows // TASK_ROWS))
+    spread = dealt.deal(texts.select(key, *filters, text), key).repartition(tasks, key)
     counts = word_counts(spread, ident, text)
     kinds = spread.select(F.explode(F.array_distinct(words_of(text))).alias("term"))
     found_in = materialize(kinds.groupBy("term").agg(F.count("*").alias("docs")), f"{path}/words")
