@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -94,6 +95,41 @@ def test_the_library_splits_without_its_vocabulary(tokenizer):
         assert list(memoryview(codec.encode(text)).cast("I")) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_batch_is_encoded_as_its_texts_are(tokenizer):
+    codec = bpe.Codec(queries.tokenizer_file())
+    every = [chr(c) for c in range(bpe.SETTLED)]
+    texts = [f"{a}{c}{b}" for c in every for a in ("", " ", "x", "x ", "\n") for b in ("", " ", "  a", "'s", "1 ")]
+    texts += [f"{a}'{b}{c}" for a in ("", " ", "\n", "a", "1", "'", "'s", "\u00e9", "\xa0") for b in ("s", "t", "m", "d", "re", "ve", "ll", "r", "l", "S", "") for c in ("", "x", " x", "'s", "1", "\u00e9")]
+    texts += [a + c for a in ("", "a") for c in (" ", "  ", " \n", "\xa0", " \x85", "\xa0\xa0a", " \xa0a", "\xa0 a", "\n\n a", "\n \na", "\t\u00e9")]
+    texts += ["<|endof", "text|>", "a <|endoftext|> b", "<|endoftext|>", None, "", "r", "e", "'", "s", "'r", "e", "\u4e2d a", "\u0557", None]
+    got = codec.encode_all(pa.array(texts))
+    assert got == [codec.encode(text) for text in texts]
+    assert [list(memoryview(ids).cast("I")) for ids in got] == [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert codec.encode_all(pa.array(texts).slice(40, 7)) == got[40:47] and codec.encode_all(pa.array(texts, pa.large_string())) == got
+    assert codec.encode_all(pa.array([], pa.string())) == [] and codec.encode_all(pa.array([None, ""])) == [b"", b""]
+
+
+def test_a_word_is_looked_up_once_in_a_batch(spark):
+    share_code(spark)
+    asked = Counter()
+
+    class Asked(bpe._Memo):
+        def __getitem__(self, key):
+            asked[key] += 1
+            return super().__getitem__(key)
+
+    codec = bpe.Codec(queries.tokenizer_file())
+    codec.pieces = Asked(codec._piece, bpe.MEMO_ENTRIES)
+    docs, run = spark.createDataFrame([], "doc_id long, text string"), []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(bpe, "codec", lambda path: codec)
+        patch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f))
+        packing.cut(docs, "")
+        [batch] = run[0](iter([pa.RecordBatch.from_pydict({"doc_id": range(100), "text": ["one two, one three\n"] * 100})]))
+    assert batch.column("length").to_pylist() == [len(codec.encode("one two, one three\n")) // bpe.ID_BYTES + 1] * 100
+    assert {asked[w] for w in (b"one", b" two", b" one", b" three", b",", b"\n")} == {2}
+
+
 def test_encoding_of_corpus(spark, sf, tokenizer):
     path = queries.tokenizer_file()
     rows = bpe.encode(table(spark, sf, "documents"), path, keep=("text",)).collect()

@@ -9,6 +9,10 @@ A word has exactly one accepted path whose arc labels spell it. It is found left
 the arc labels proposes the arcs that can leave a place, longest first, and the arc table tells which
 of them continues the path. Decoding emits the arc labels.
 
+The texts of a batch are split together, on their bytes, and each word met in them is looked up once.
+Words keep their ids in a bounded memo. Texts that hold special tokens or characters which the split
+by kinds does not know are encoded one by one.
+
 Results for odd input: null text encodes to no ids; the text of a special token is that token, as
 the tokenizers library has it; repeated rows are encoded each; extra columns play no part.
 """
@@ -23,6 +27,7 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -45,6 +50,12 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTER, DIGIT = _of_category("L"), _of_category("N")
 PRE_SPLIT = rf" ?[{LETTER}]+| ?[{DIGIT}]+|'(?:[stmd]|re|ve|ll)| ?[^{SPACE}{LETTER}{DIGIT}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+# The same for bytes: kinds of settled characters (0: any other), and the lead byte from which on they may not be settled.
+IS_SPACE = 3
+KINDS = np.zeros(SETTLED, np.uint8)
+for _kind, _members in enumerate((LETTER, DIGIT, SPACE), 1):
+    KINDS[[bool(re.match(f"[{_members}]", chr(c))) for c in range(SETTLED)]] = _kind
+TWO_BYTES, UNSETTLED_LEAD = 0xC0, 0xC0 | SETTLED >> 6
 
 ID_BYTES = 4
 ROWS_PER_BATCH = 512
@@ -59,6 +70,32 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in PRINTABLE} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
+def piece_starts(raw: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Where the pieces of PRE_SPLIT start, and the end, in the UTF-8 bytes of settled rows; rows: where these start, and the end."""
+    kind, size = KINDS[raw], len(raw)
+    lead = np.flatnonzero(raw >= TWO_BYTES)
+    kind[lead] = kind[lead + 1] = KINDS[(raw[lead] & 31).astype(np.int32) << 6 | raw[lead + 1] & 63]
+    edge = np.zeros(size + 1, bool)
+    edge[rows] = True
+    starts = edge.copy()
+    starts[1:-1] |= kind[1:] != kind[:-1]
+    # the last of some white space stands apart, or with what follows it if it is a space
+    after = np.flatnonzero((kind[1:] != IS_SPACE) & (kind[:-1] == IS_SPACE) & ~edge[1:-1]) + 1
+    last = raw[after - 1]
+    starts[after - 1 - (last >= 0x80)] = True
+    starts[after[last == ord(" ")]] = False
+    # short forms: an apostrophe that starts a piece, with the letters behind it
+    mark = np.flatnonzero((raw == ord("'")) & starts[:-1])
+    one, two = (raw[np.minimum(mark + k, size - 1)] for k in (1, 2))
+    inside = ~edge[mark + 1]
+    short = inside & np.isin(one, list(b"stmd"))
+    longer = inside & ~edge[np.minimum(mark + 2, size)] & np.isin(one.astype(np.int32) << 8 | two, [int.from_bytes(x, "big") for x in (b"re", b"ve", b"ll")])
+    starts[mark[short | longer] + 1] = False
+    starts[mark[short] + 2] = True
+    starts[mark[longer] + 3] = True
+    return np.flatnonzero(starts)
+
+
 class MergeAutomaton:
     """Arc table and suffix automaton for one merge list (pairs of byte strings, first merge first)."""
 
@@ -173,6 +210,14 @@ class MergeAutomaton:
         return out
 
 
+def _bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a large string or binary array in a row, where each value starts in them, and the end."""
+    _, places, data = values.buffers()
+    places = np.frombuffer(places, np.int64, len(values) + 1, values.offset * 8) if len(values) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[places[0] : places[-1]] if data else np.zeros(0, np.uint8)
+    return raw, places - places[0]
+
+
 class _Memo(dict):
     """Results of a function for keys met twice, found by plain lookup; those met once wait in a table of their own.
 
@@ -180,10 +225,10 @@ class _Memo(dict):
     full memo the older half goes back to wait.
     """
 
-    def __init__(self, make: Callable[[str], bytes], entries: int):
+    def __init__(self, make: Callable[[bytes | str], bytes], entries: int):
         self.make, self.entries, self.once = make, entries, {}
 
-    def __missing__(self, key: str) -> bytes:
+    def __missing__(self, key: bytes | str) -> bytes:
         out = self.once.get(key)
         if out is None:
             out = self.make(key)
@@ -225,8 +270,8 @@ class Codec:
         self.pieces = _Memo(self._piece, MEMO_ENTRIES)
         self.chunks = _Memo(self._chunk, MEMO_ENTRIES // 4)
 
-    def _piece(self, piece: str) -> bytes:
-        return b"".join([self.packed[s] for s in self.automaton.path(piece.encode())])
+    def _piece(self, piece: bytes) -> bytes:
+        return b"".join([self.packed[s] for s in self.automaton.path(piece)])
 
     def _chunk(self, chunk: str) -> bytes:
         return self.pieces_of(" " + chunk)
@@ -236,7 +281,7 @@ class Codec:
             parts = self.pre_split.findall(text)
         else:
             parts = [text[a:b] for _, (a, b) in self.split_as_library(text)]
-        return b"".join(map(self.pieces.__getitem__, parts))
+        return b"".join(map(self.pieces.__getitem__, map(str.encode, parts)))
 
     def _plain(self, text: str) -> bytes:
         # Where no space meets other white space, the pre-split never crosses the place before a
@@ -258,6 +303,40 @@ class Codec:
             at = m.end()
         return b"".join([*out, self._plain(text[at:])])
 
+    def _apart(self, raw: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Which rows of the UTF-8 bytes are to be encoded one by one."""
+        out, whole = np.zeros(len(rows) - 1, bool), raw.tobytes()
+        out[np.searchsorted(rows, np.flatnonzero(raw >= UNSETTLED_LEAD), side="right") - 1] = True
+        for token in map(str.encode, self.special):
+            at = whole.find(token)
+            while at >= 0:
+                row = np.searchsorted(rows, at, side="right") - 1
+                # not what only two rows side by side make
+                out[row] |= at + len(token) <= rows[row + 1]
+                at = whole.find(token, at + 1)
+        return out
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """What encode gives for each text; words are looked up once for all texts."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        texts.validate(full=True)
+        raw, rows = _bytes_of(texts)
+        apart = self._apart(raw, rows)
+        if apart.any():
+            plain = iter(self.encode_all(texts.filter(pa.array(~apart))))
+            return [self.encode(text.as_py()) if alone else next(plain) for text, alone in zip(texts, apart)]
+        if not len(raw):
+            return [b""] * len(texts)
+        starts = piece_starts(raw, rows)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(raw)])
+        words = pieces.dictionary_encode()
+        # a NumPy array of objects is much faster than to_pylist here
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = pa.array(list(map(self.pieces.__getitem__, distinct)), pa.large_binary())
+        ids, ends = _bytes_of(known.take(words.indices))
+        ends = ends[np.searchsorted(starts, rows)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
     def decode(self, ids: bytes | None) -> str:
         if not ids:
             return ""
@@ -274,17 +353,17 @@ def codec(path: str) -> Codec:
     return out
 
 
-def _mapped(df: DataFrame, source: str, out: str, kind: str, keep: Sequence[str], one) -> DataFrame:
-    """Replace one column by its mapped value; the kept columns pass unchanged."""
+def _mapped(df: DataFrame, source: str, out: str, kind: str, keep: Sequence[str], mapping) -> DataFrame:
+    """Replace one column by its mapped values; the kept columns pass unchanged."""
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, T._parse_datatype_string(kind))])
     arrow_kind = pa.binary() if kind == "binary" else pa.string()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        apply = one()
+        apply = mapping()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_PER_BATCH):
                 part = batch.slice(at, ROWS_PER_BATCH)
-                made = pa.array([apply(v) for v in part.column(source).to_pylist()], arrow_kind)
+                made = pa.array(apply(part.column(source)), arrow_kind)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), made], names=[*keep, out])
 
     return df.select(*dict.fromkeys([*keep, source])).mapInArrow(run, schema)
@@ -292,9 +371,9 @@ def _mapped(df: DataFrame, source: str, out: str, kind: str, keep: Sequence[str]
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] = ("doc_id",), out: str = "ids") -> DataFrame:
     """The kept columns and the packed ids of the whole text (null and empty texts: no ids)."""
-    return _mapped(docs, text, out, "binary", keep, lambda: codec(path).encode)
+    return _mapped(docs, text, out, "binary", keep, lambda: codec(path).encode_all)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: Sequence[str] = ("doc_id",), out: str = "text") -> DataFrame:
     """The kept columns and the text that the packed ids spell (no ids: empty text)."""
-    return _mapped(encoded, ids, out, "string", keep, lambda: codec(path).decode)
+    return _mapped(encoded, ids, out, "string", keep, lambda: lambda column: [*map(codec(path).decode, column.to_pylist())])

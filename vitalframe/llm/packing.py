@@ -52,13 +52,13 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, width = bpe.codec(path).encode, end_id.to_bytes(bpe.ID_BYTES, "little"), capacity * bpe.ID_BYTES
+        encode_all, end, width = bpe.codec(path).encode_all, end_id.to_bytes(bpe.ID_BYTES, "little"), capacity * bpe.ID_BYTES
         for batch in batches:
             for at in range(0, batch.num_rows, bpe.ROWS_PER_BATCH):
                 part = batch.slice(at, bpe.ROWS_PER_BATCH)
                 owner, rows = [], []
-                for n, value in enumerate(part.column(text).to_pylist()):
-                    ids = encode(value) + end
+                for n, ids in enumerate(encode_all(part.column(text))):
+                    ids += end
                     first = len(ids) % width or width
                     spans = [(0, first), *((a, a + width) for a in range(first, len(ids), width))]
                     owner += [n] * len(spans)
