@@ -1,5 +1,6 @@
 """Preparation, reports and a small training run."""
 
+import itertools
 import random
 import statistics
 
@@ -146,3 +147,90 @@ def test_weights_leave_the_rows_where_they_lie(spark):
         assert {r.class_weight for r in weighed.collect()} == {1.0}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _labelled(spark, n=600):
+    """Three classes over numbers, flags and texts; a weight per class."""
+    df = spark.range(n).select(
+        ((F.col("id") * 7) % 29).cast("double").alias("a"),
+        ((F.col("id") * 13) % 11).cast("int").alias("b"),
+        F.element_at(F.array(*[F.lit(t) for t in "uvwxy"]), ((F.col("id") * 5 % 17) % 5 + 1).cast("int")).alias("g"),
+        (F.col("id") % 5 == 0).alias("flag"),
+        F.when((F.col("id") * 7 % 29 + F.col("id") * 5 % 17 + F.xxhash64("id") % 5) < 15, "low")
+        .when((F.col("id") * 7 % 29 + F.col("id") * 13 % 11) < 25, "mid").otherwise("high").alias("y"),
+    )
+    ready, stages = ml.prepared(df, ["a", "b", "flag", "g"], "y")
+    return ml.with_weights(stages.fit(ready).transform(ready)).cache()
+
+
+def test_boosted_trees_are_those_of_spark(spark):
+    """With all rows in every round, the trees on counted cells predict what the library's trees predict row by row.
+
+    Deeper trees have nodes in which splits tie but for rounding.
+    """
+    depth = 2
+    from pyspark.ml.classification import GBTClassifier, OneVsRest
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    rows = _labelled(spark)
+    plain = MulticlassClassificationEvaluator(metricName="accuracy")
+    ours = ml.train_gbt(rows, {"maxIter": [4], "maxDepth": [depth], "minInstancesPerNode": [3]}, folds=2).bestModel
+    theirs = OneVsRest(classifier=GBTClassifier(maxIter=4, maxDepth=depth, minInstancesPerNode=3, seed=42), weightCol="class_weight").fit(rows)
+    for mine, other in zip(ours.models, theirs.models):
+        a = [r.rawPrediction[1] for r in mine.transform(rows).select("rawPrediction").collect()]
+        b = [r.rawPrediction[1] for r in other.transform(rows).select("rawPrediction").collect()]
+        assert a == pytest.approx(b, abs=1e-9)
+        assert mine.featureImportances.toArray() == pytest.approx(other.featureImportances.toArray(), abs=1e-9)
+    assert ml.accuracy_of(ours, {"all": rows})["all"] == pytest.approx(plain.evaluate(ours.transform(rows)))
+
+
+def test_boosted_search_tries_every_point_in_every_fold(spark, monkeypatch):
+    """A point with fewer rounds scores as if it had been fitted alone; sampling and joint histograms change no row count."""
+    from vitalframe.operators import boosting
+
+    rows = _labelled(spark).withColumn("fold", (F.col("a") % 3).cast("int"))
+    grid = {"maxDepth": [2, 3], "stepSize": [0.01, 0.3], "maxIter": [2, 5], "minInstancesPerNode": [3], "subsamplingRate": [0.8]}
+    points = [dict(zip(grid, v)) for v in itertools.product(*grid.values())]
+    best, scores = boosting.search(rows, points, 3)
+    assert len(scores) == 8 and all(len(s) == 3 and all(0 < x <= 1 for x in s) for s in scores)
+    assert boosting.search(rows, [points[4]], 3)[1] == [scores[4]]
+    monkeypatch.setattr(boosting, "JOINT", 1)
+    monkeypatch.setattr(boosting, "CHUNK", 100)
+    monkeypatch.setattr(boosting, "IN_MEMORY", 0)
+    piecewise = boosting.search(rows, [points[4] | {"subsamplingRate": 1.0}], 3)[1]
+    monkeypatch.undo()
+    assert piecewise == boosting.search(rows, [points[4] | {"subsamplingRate": 1.0}], 3)[1]
+    assert [t.getNumTrees for t in best.models] == [int(max(points, key=lambda p: sum(scores[points.index(p)]))["maxIter"])] * 3
+    with pytest.raises(ValueError):
+        boosting.search(rows, [{"lossType": "logistic"}], 3)
+
+
+def test_rows_are_drawn_by_count():
+    import numpy as np
+
+    from vitalframe.operators import boosting
+
+    n = np.repeat([0, 1, 5, 63, 64, 500], 40_000)
+    got = boosting._drawn(n, 0.8, boosting._quantiles(0.8), np.random.default_rng(1))
+    assert (got <= n).all() and (got >= 0).all()
+    for k in set(n.tolist()):
+        mine = got[n == k]
+        assert mine.mean() == pytest.approx(0.8 * k, abs=0.02 * max(1, k**0.5)) and mine.var() == pytest.approx(0.16 * k, rel=0.05)
+
+
+def test_registered_boosted_search_is_whole(spark, sf, monkeypatch):
+    """All published points and folds, not one point of five rounds in two folds."""
+    import checks.reg_ml  # noqa: F401
+    from checks.registry import QUERIES
+    from vitalframe.operators import boosting
+
+    seen = {}
+
+    def search(train, points, folds):
+        seen.update(points=[dict(p) for p in points], folds=folds, rows=train.count())
+        raise InterruptedError
+
+    monkeypatch.setattr(boosting, "search", search)
+    with pytest.raises(InterruptedError):
+        QUERIES["m06_train_gbt"](spark, sf)
+    assert len(seen["points"]) == 16 and seen["folds"] == 5 and {p["maxIter"] for p in seen["points"]} == {100, 200} and seen["rows"] > 3000
