@@ -234,3 +234,23 @@ def test_registered_boosted_search_is_whole(spark, sf, monkeypatch):
     with pytest.raises(InterruptedError):
         QUERIES["m06_train_gbt"](spark, sf)
     assert len(seen["points"]) == 16 and seen["folds"] == 5 and {p["maxIter"] for p in seen["points"]} == {100, 200} and seen["rows"] > 3000
+
+
+def test_folds_are_kept_on_disk(spark, monkeypatch):
+    """Every fit of a search reads folds that are stored, but not as objects in the executors' memory."""
+    from pyspark.ml.classification import LinearSVC
+
+    levels, fit = [], LinearSVC._fit
+
+    def seen(self, dataset):
+        levels.extend(i.storageLevel().description() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo() if "InMemoryTableScan" not in i.name())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(LinearSVC, "_fit", seen)
+    rows = spark.range(200).select((F.col("id") % 2).cast("double").alias("label"), F.lit(1.0).alias("class_weight"), F.array((F.col("id") % 7).cast("double")).alias("f"))
+    from pyspark.ml.functions import array_to_vector
+
+    ml.train_svm(rows.withColumn("features", array_to_vector("f")).drop("f"), {"regParam": [0.1, 0.01], "maxIter": [2]}, folds=2)
+    kept = ml._DiskFolds(numFolds=2, seed=1)._kFold(rows)
+    assert [d.storageLevel.useMemory or not d.storageLevel.useDisk for pair in kept for d in pair] == [False] * 4
+    assert levels and not any("Memory" in level for level in levels)
